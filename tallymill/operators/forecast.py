@@ -48,10 +48,10 @@ def parameter_grid(grid: Mapping[str, Sequence]) -> list[dict]:
     return [dict(zip(grid, values)) for values in product(*grid.values())]
 
 
-def in_parallel(tasks: Sequence[Callable], threads: int = 4) -> list:
+def in_parallel(spark: SparkSession, tasks: Sequence[Callable], threads: int = 4) -> list:
     """Run driver functions that submit Spark jobs side by side."""
     with ThreadPoolExecutor(threads) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(t)) for t in tasks]]
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(t)) for t in tasks]]
 
 
 def residual_bias(df: DataFrame, groups: Sequence[str], actual: str, predicted: str) -> DataFrame:
@@ -183,7 +183,7 @@ def diagnose(
             known.where(F.col(cols.family) == label), tree, "lr_residual", grid, cols.date, validation_cut
         )
 
-    found = dict(zip(families, in_parallel([search(f) for f in families], threads)))
+    found = dict(zip(families, in_parallel(panel.sparkSession, [search(f) for f in families], threads)))
     trees = {f: hit[1] for f, hit in found.items()}
     corrected = _correct(scored, cols.family, trees, tree, "xgb_pred").withColumn(
         "hybrid_pred",
@@ -249,7 +249,7 @@ def train_all(
             residual.where(F.col(cols.family) == label), tree, "lr_residual", tree_params[label]
         )
 
-    trees = dict(zip(hybrid, in_parallel([fit(f) for f in hybrid], threads))) if hybrid else {}
+    trees = dict(zip(hybrid, in_parallel(panel.sparkSession, [fit(f) for f in hybrid], threads))) if hybrid else {}
     return FamilyModels(spec, params, index, trees, {f: dict(tree_params[f]) for f in hybrid})
 
 

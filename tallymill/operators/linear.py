@@ -56,9 +56,10 @@ def cross_products(df: DataFrame, groups: Sequence[str], features: Sequence[str]
         for pdf in batches:
             for key, vector in zip(pdf[groups].itertuples(index=False, name=None), pdf["_part"]):
                 held[key] = held[key] + vector if key in held else np.array(vector)
-        out = pd.DataFrame(list(held), columns=groups)
-        out["_part"] = [v.tolist() for v in held.values()]
-        yield out
+        if held:
+            out = pd.DataFrame(list(held), columns=groups)
+            out["_part"] = [v.tolist() for v in held.values()]
+            yield out
 
     parts = rows.mapInPandas(partial, f"{schema}, _part array<double>")
     # Partial sums of one group first meet in ``spread`` tasks, then in one. The salt is

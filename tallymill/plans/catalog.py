@@ -1,6 +1,6 @@
 """Imports every module that registers queries."""
 
-from tallymill.plans import activity, commerce, forecasting, incidents, retail, survey, titles  # noqa: F401
+from tallymill.plans import activity, commerce, forecasting, incidents, learning, retail, survey, titles  # noqa: F401
 from tallymill.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
