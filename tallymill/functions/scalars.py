@@ -6,7 +6,9 @@ maximum or mean needs neither a driver round trip nor a join with a one-row side
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterable, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -18,3 +20,9 @@ def total(df: DataFrame, expr: Column) -> Column:
 def totals(df: DataFrame, **exprs: Column) -> Column:
     """Several whole-table aggregates as one struct scalar; read with ``["name"]``."""
     return df.agg(F.struct(*[e.alias(n) for n, e in exprs.items()]).alias("value")).scalar()
+
+
+def literal_table(spark: SparkSession, rows: Iterable[Sequence], cols: Sequence[str]) -> DataFrame:
+    """A small table written in the code, built without a Python worker."""
+    cells = [F.struct(*[F.lit(v).alias(c) for c, v in zip(cols, row)]) for row in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*cells)))

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymill.functions.scalars import literal_table
+
 _FNS = {"mean": F.avg, "count": F.count, "sum": F.sum, "min": F.min, "max": F.max, "std": F.stddev_samp}
 
 
@@ -85,9 +87,7 @@ def complete_categories(
     counts: DataFrame, col: str, labels: Sequence[str], value: str
 ) -> DataFrame:
     """One row per label, in the order given, with 0 where ``counts`` has none."""
-    dim = counts.sparkSession.createDataFrame(
-        [(i, label) for i, label in enumerate(labels)], f"_rank int, {col} string"
-    )
+    dim = literal_table(counts.sparkSession, enumerate(labels), ["_rank", col])
     return (
         dim.join(counts.select(col, value), col, "left")
         .select("_rank", col, F.coalesce(F.col(value), F.lit(0)).alias(value))

@@ -108,6 +108,10 @@ def standardize(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = N
         **{f"m_{c}": F.avg(c) for c in cols},
         **{f"s_{c}": F.stddev_samp(c) for c in cols},
     )
-    return df.withColumns(
-        {c: F.try_divide(F.col(c) - stats[f"m_{c}"], stats[f"s_{c}"]) for c in cols}
+    return (
+        df.withColumn("_s", stats)
+        .withColumns(
+            {c: F.try_divide(F.col(c) - F.col(f"_s.m_{c}"), F.col(f"_s.s_{c}")) for c in cols}
+        )
+        .drop("_s")
     )

@@ -9,7 +9,7 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.operators.cleaning import most_frequent
-from tallymill.operators.encode import ordinal_code, sample_bucket, standardize
+from tallymill.operators.encode import ordinal_code, sample_bucket
 from tallymill.operators.forecast import in_parallel, parameter_grid
 from tallymill.operators.quantiles import exact_quantiles
 from tallymill.operators.reshape import dummies, fit_labels
@@ -224,6 +224,16 @@ def feature_importance(df: DataFrame, model, names: Sequence[str], correlations:
     return table.join(correlations, "feature", "left").orderBy(F.desc("importance"), "feature")
 
 
+def _scaled(df: DataFrame, cols: Sequence[str], name: str, deviation: bool) -> DataFrame:
+    """Vector of ``cols`` minus their means, over their sample deviations if asked.
+
+    A constant column becomes 0.
+    """
+    raw = VectorAssembler(inputCols=list(cols), outputCol="_raw").transform(df)
+    scaler = StandardScaler(inputCol="_raw", outputCol=name, withMean=True, withStd=deviation)
+    return scaler.fit(raw).transform(raw).drop("_raw")
+
+
 def kmeans_feature(
     df: DataFrame, cols: Sequence[str], ks: Sequence[int] = (5, 15), seed: int = 0, name: str = "cluster"
 ) -> tuple[DataFrame, list[tuple[int, float]]]:
@@ -231,12 +241,7 @@ def kmeans_feature(
 
     Also returns the silhouette (squared Euclidean) of every ``k``.
     """
-    # The z-scores get their own columns; a constant column adds nothing to a distance.
-    scaled_names = [f"_z_{c}" for c in cols]
-    copied = df.withColumns(dict(zip(scaled_names, [F.col(c).cast("double") for c in cols])))
-    scaled = standardize(copied, scaled_names).na.fill(0.0, scaled_names)
-    ready = VectorAssembler(inputCols=scaled_names, outputCol="_features").transform(scaled)
-    ready = ready.drop(*scaled_names).persist()
+    ready = _scaled(df, cols, "_features", True).persist()
     judge = ClusteringEvaluator(featuresCol="_features", predictionCol=name, metricName="silhouette")
     scores, models = [], []
     for k in ks:
@@ -249,12 +254,7 @@ def kmeans_feature(
 
 def pca(df: DataFrame, cols: Sequence[str], standardized: bool = True) -> tuple[DataFrame, DataFrame, list[float]]:
     """Component scores, loadings (long form) and explained variance ratios."""
-    if standardized:
-        ready = standardize(df, cols).na.fill(0.0, list(cols))
-    else:
-        means = df.agg(F.struct(*[F.avg(c).alias(c) for c in cols]).alias("v")).scalar()
-        ready = df.withColumns({c: F.col(c) - means[c] for c in cols})
-    ready = VectorAssembler(inputCols=list(cols), outputCol="_features").transform(ready)
+    ready = _scaled(df, cols, "_features", standardized)
     model = PCA(k=len(cols), inputCol="_features", outputCol="_scores").fit(ready)
     loadings = model.pc.toArray()
     cells = [

@@ -139,8 +139,9 @@ def kde(
         .select(F.struct("n", "h", "x0", "dx").alias("v"))
         .scalar()
     )
-    z = [F.try_divide(grid["x0"] + grid["dx"] * j - F.col("_v"), grid["h"]) for j in range(points)]
-    one = values.agg(
+    at = [F.col("_g.x0") + F.col("_g.dx") * j for j in range(points)]
+    z = [F.try_divide(x - F.col("_v"), F.col("_g.h")) for x in at]
+    one = values.withColumn("_g", grid).agg(
         *[F.sum(F.col("_n") * F.exp(zj * zj * -0.5)).alias(f"_{j}") for j, zj in enumerate(z)]
     ).withColumn("_g", grid)
     scale = F.col("_g.n") * F.col("_g.h") * math.sqrt(2 * math.pi)

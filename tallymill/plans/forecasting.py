@@ -41,7 +41,7 @@ from tallymill.operators.windows import (
 )
 from tallymill.plans.commerce import orders_with_place
 from tallymill.plans.registry import iso, query, rounded
-from tallymill.session import scratch_path
+from tallymill.session import scratch_path, stored
 
 _COLS = PanelColumns()
 _KEYS = ["family", "store"]
@@ -78,9 +78,7 @@ def daily_panel(t):
 
 def stored_panel(t):
     """The panel written once to the shared folder, for plans that read it many times."""
-    path = scratch_path(t.spark, "panel")
-    daily_panel(t).write.parquet(path)
-    return t.spark.read.parquet(path)
+    return stored(daily_panel(t), "panel")
 
 
 @query(

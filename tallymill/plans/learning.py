@@ -31,7 +31,7 @@ from tallymill.operators.reshape import interaction
 from tallymill.operators.stats import high_corr_features, mutual_information
 from tallymill.operators.windows import group_stat_feature
 from tallymill.plans.registry import query, rounded
-from tallymill.session import scratch_path
+from tallymill.session import scratch_path, stored
 from tallymill.sources.files import write_csv
 
 _NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -239,14 +239,8 @@ _SPEC = {
 }
 
 
-def _stored(t, df, name):
-    path = scratch_path(t.spark, name)
-    df.write.parquet(path)
-    return t.spark.read.parquet(path)
-
-
 def _search(t, fit, grid, folds):
-    parts = _stored(t, _priced_parts(t), "priced-parts")
+    parts = stored(_priced_parts(t), "priced-parts")
     return parts, grid_search(
         parts, TablePreprocessor.of(_SPEC), fit, grid, "p_retailprice", ["p_partkey"], folds
     )
@@ -273,7 +267,7 @@ def boosted_cv(t):
 @query("importance_table")
 def importance_table(t):
     """Importances of a forest beside the correlation of each numeric feature."""
-    parts = _stored(t, _priced_parts(t), "priced-parts")
+    parts = stored(_priced_parts(t), "priced-parts")
     prepared = TablePreprocessor.of(_SPEC).fit(parts)
     model = fit_forest(
         prepared.transform(parts), "p_retailprice", {"numTrees": 10, "minInstancesPerNode": 3}

@@ -13,6 +13,7 @@ from tallymill.operators.reshape import pivot_table
 from tallymill.operators.windows import period_index
 from tallymill.plans.commerce import orders_per_customer, with_nation
 from tallymill.plans.registry import iso, query, rounded
+from tallymill.session import stored
 
 
 @query(
@@ -263,8 +264,9 @@ _RFM_SQL = """
 
 
 def _segments(t):
+    # Scoring reads the customer table several times, so orders are reduced to it once.
     rfm = rfm_table(t.orders, "o_custkey", "o_orderdate", F.col("o_totalprice"))
-    return rfm_segments(rfm, "o_custkey")
+    return rfm_segments(stored(rfm, "rfm"), "o_custkey")
 
 
 @query(

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "tallymill", master: str | None = None, **conf) -> SparkSession:
@@ -50,3 +50,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Let ``DataFrame.checkpoint`` and the tree trainers cut lineage reliably."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(scratch_root(spark))
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the scratch folder once and read it back.
+
+    For a costly frame that one plan reads several times: the work is done once, the
+    lineage ends at the files, and a lost executor loses none of it.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

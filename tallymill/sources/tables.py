@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallymill.functions.scalars import literal_table
+
 # The tables of the test data folder.
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -25,9 +27,7 @@ def register_tables(spark: SparkSession, folder: str, names=TABLES) -> list[str]
 def describe_schema(df: DataFrame) -> DataFrame:
     """Column name, type and nullability, one row per column (metadata only)."""
     rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(
-        rows, "position int, column_name string, dtype string, nullable boolean"
-    )
+    return literal_table(df.sparkSession, rows, ["position", "column_name", "dtype", "nullable"])
 
 
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:
