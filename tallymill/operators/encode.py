@@ -11,6 +11,7 @@ from tallymill.functions.scalars import totals
 from tallymill.operators.cleaning import most_frequent
 from tallymill.operators.quantiles import exact_quantiles
 from tallymill.operators.ranking import global_rank
+from tallymill.session import stored
 
 
 def impute(df: DataFrame, spec: Mapping, fit_on: DataFrame | None = None) -> DataFrame:
@@ -63,25 +64,49 @@ def factorize(df: DataFrame, col: str, name: str) -> DataFrame:
     )
 
 
-def m_estimate_encode(
-    train: DataFrame, df: DataFrame, cat: str, target: str, name: str, m: float = 5.0
-) -> DataFrame:
+def fit_m_estimate(train: DataFrame, cat: str, target: str, name: str, m: float = 5.0) -> DataFrame:
     """Smoothed mean of the target per category: (sum + m * prior) / (n + m).
 
-    Categories not in ``train`` get the prior, the training mean.
+    The prior is the training mean; it is also the value of the null category, the
+    row that :func:`apply_encoding` gives to unseen categories.
     """
     prior = train.agg(F.avg(target)).scalar()
-    stats = (
+    seen = (
         train.where(F.col(cat).isNotNull())
         .groupBy(cat)
         .agg(F.sum(target).alias("_sum"), F.count(target).alias("_n"))
+        .select(cat, ((F.col("_sum") + prior * m) / (F.col("_n") + m)).alias(name))
+    )
+    unseen = train.agg(F.avg(target).alias(name)).select(
+        F.lit(None).cast(train.schema[cat].dataType).alias(cat), name
     )
-    smoothed = (F.col("_sum") + prior * m) / (F.col("_n") + m)
-    return df.join(stats, cat, "left").select(
-        *df.columns, F.coalesce(smoothed, prior).alias(name)
+    return seen.unionByName(unseen)
+
+
+def apply_encoding(df: DataFrame, table: DataFrame, cat: str, name: str) -> DataFrame:
+    """Attach the encoding table; unseen and null categories get its null row.
+
+    A stored table is broadcast when its files are small enough, without a hint.
+    """
+    unseen = table.where(F.col(cat).isNull()).select(name).scalar()
+    known = table.where(F.col(cat).isNotNull()).withColumnRenamed(name, "_known")
+    return df.join(known, cat, "left").select(
+        *df.columns, F.coalesce(F.col("_known"), unseen).alias(name)
     )
 
 
+def m_estimate_encode(
+    train: DataFrame, df: DataFrame, cat: str, target: str, name: str, m: float = 5.0
+) -> DataFrame:
+    """Fit on ``train`` and encode ``df``.
+
+    The category table is written once: fitting is not repeated for every use, and
+    its known size lets the join broadcast it instead of shuffling ``df``.
+    """
+    table = stored(fit_m_estimate(train, cat, target, name, m), "encoding")
+    return apply_encoding(df, table, cat, name)
+
+
 def sample_bucket(ids: Sequence[str], seed: int, buckets: int = 100) -> Column:
     """Pseudo-random bucket 0..``buckets``-1 of a row, fixed by its key and the seed.
 

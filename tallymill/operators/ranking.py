@@ -76,7 +76,7 @@ def global_rank(df: DataFrame, order: Sequence[str], name: str = "rank") -> Data
     # At most 256 rows of offsets.
     return (
         located.withColumn("_row", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "_block")
+        .join(F.broadcast(offsets), "_block", "left")
         .withColumn(name, F.col("_row") + F.col("_offset"))
         .select(*df.columns, name)
     )

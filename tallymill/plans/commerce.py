@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallymill.functions.calendar import (
@@ -257,21 +256,18 @@ def state_price(t):
 @query(
     "payment_mix",
     """
-    SELECT o_orderpriority, round(avg(o_totalprice), 4) AS avg_value, count(*) AS count,
-           CAST(row_number() OVER (ORDER BY avg(o_totalprice) DESC) AS INTEGER) AS position
-    FROM orders GROUP BY o_orderpriority ORDER BY position
+    SELECT o_orderpriority, round(avg(o_totalprice), 4) AS avg_value, count(*) AS count
+    FROM orders GROUP BY o_orderpriority ORDER BY avg_value DESC
     """,
 )
 def payment_mix(t):
-    # Mean and count of a kind share one grouping, so the counts already are in mean order;
-    # the position column is over the few kinds.
+    # Mean and count of a kind share one grouping, so the counts already are in mean order.
     kinds = (
         t.orders.where(F.col("o_orderpriority").isNotNull())
         .groupBy("o_orderpriority")
         .agg(F.avg("o_totalprice").alias("avg_value"), F.count(F.lit(1)).alias("count"))
     )
-    placed = kinds.withColumn("position", F.row_number().over(Window.orderBy(F.desc("avg_value"))))
-    return rounded(placed, avg_value=4).orderBy("position")
+    return rounded(kinds, avg_value=4).orderBy(F.desc("avg_value"))
 
 
 @query(

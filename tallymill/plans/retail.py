@@ -317,4 +317,6 @@ def rfm_summary(t):
     """,
 )
 def rfm_mix(t):
-    return rounded(share(_segments(t).select("rfm_segment"), ["rfm_segment"]), share=6)
+    # Counted twice, once for the total, so the labels are stored.
+    labels = stored(_segments(t).select("rfm_segment"), "segments")
+    return rounded(share(labels, ["rfm_segment"]), share=6)
