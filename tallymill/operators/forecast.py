@@ -30,7 +30,7 @@ from tallymill.operators.series import (
 )
 from tallymill.operators.stats import choose_policy, family_metrics
 from tallymill.operators.windows import autocorr
-from tallymill.session import ensure_checkpoint_dir
+from tallymill.session import ensure_checkpoint_dir, stored
 
 # The searched values of the boosted stage, small enough to run per family.
 DEFAULT_GRID = {"maxDepth": [3, 5], "stepSize": [0.1], "maxIter": [20], "minInstancesPerNode": [5]}
@@ -162,9 +162,9 @@ def diagnose(
     """
     spec = fit_spec(panel, cols, lags, rolls)
     linear, tree = spec.linear_columns(), spec.tree_columns()
-    rows = build_features(panel, lags, rolls, cols, spec).persist()
+    rows = stored(build_features(panel, lags, rolls, cols, spec), "features")
     train, _ = time_split(rows, cols.date, split_date)
-    params = fit_ridge(train, [cols.family], linear, cols.value, alpha).persist()
+    params = stored(fit_ridge(train, [cols.family], linear, cols.value, alpha), "ridge")
     fitted = predict_linear(train, params, [cols.family], linear, "lr_pred")
     bias = residual_bias(fitted, [cols.family], cols.value, "lr_pred")
     scored = (
@@ -173,8 +173,9 @@ def diagnose(
         .withColumn("lr_pred_corr", F.col("lr_pred") + F.col("bias"))
         .withColumn("lr_residual", F.col(cols.value) - F.col("lr_pred_corr"))
         .drop("bias")
-        .persist()
     )
+    # One folder per family: each family's searches then read only their own rows.
+    scored = stored(scored, "scored", (cols.family,))
     known, _ = time_split(scored, cols.date, split_date)
     families = fit_labels(panel, [cols.family])[cols.family]
 
@@ -223,8 +224,8 @@ def train_all(
     spec = fit_spec(panel, cols)
     index = date_index(panel, cols)
     linear, tree = spec.linear_columns(), spec.tree_columns()
-    rows = build_forecast_features(panel, spec, None, cols).persist()
-    params = fit_ridge(rows, [cols.family], linear, cols.value, alpha)
+    rows = stored(build_forecast_features(panel, spec, None, cols), "features", (cols.family,))
+    params = stored(fit_ridge(rows, [cols.family], linear, cols.value, alpha), "ridge")
     fitted = predict_linear(rows, params, [cols.family], linear, "lr_pred")
     bias = residual_bias(fitted, [cols.family], cols.value, "lr_pred")
     params = params.join(bias, cols.family).withColumn(
@@ -240,7 +241,6 @@ def train_all(
         predict_linear(rows, params, [cols.family], linear, "lr_pred")
         .join(params.select(cols.family, "bias"), cols.family)
         .withColumn("lr_residual", F.col(cols.value) - F.col("lr_pred") - F.col("bias"))
-        .persist()
     )
     hybrid = [f for f, p in policies.items() if p == "hybrid"]
 
@@ -262,6 +262,8 @@ def predict_all(df: DataFrame, models: FamilyModels, cols: PanelColumns = PanelC
         .join(models.params.select(cols.family, "bias"), cols.family, "left")
         .withColumn("_lr", F.col("_lr") + F.col("bias"))
     )
+    if models.trees:
+        base = stored(base, "base-forecast", (cols.family,))
     scored = _correct(base, cols.family, models.trees, tree, "_trees")
     return scored.select(
         *df.columns, combine_forecast(F.col("_lr"), F.col("_trees")).alias(name)

@@ -37,7 +37,7 @@ def items_per_token(t):
                       row_number() OVER (PARTITION BY p_partkey ORDER BY length(name) DESC, name) AS k
                FROM e)
     SELECT p_partkey, name AS primary_name, CAST(bytes AS INTEGER) AS bytes_used
-    FROM r WHERE k = 1 ORDER BY p_partkey
+    FROM r WHERE k = 1
     """,
 )
 def primary_element(t):
@@ -52,7 +52,7 @@ def primary_element(t):
     best = top_n_per_group(flat, ["p_partkey"], [F.desc("item.bytes"), F.asc("item.name")])
     return best.select(
         "p_partkey", F.col("item.name").alias("primary_name"), F.col("item.bytes").alias("bytes_used")
-    ).orderBy("p_partkey")
+    )
 
 
 @query(

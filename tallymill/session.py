@@ -52,12 +52,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(scratch_root(spark))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to the scratch folder once and read it back.
 
     For a costly frame that one plan reads several times: the work is done once, the
-    lineage ends at the files, and a lost executor loses none of it.
+    lineage ends at the files, and a lost executor loses none of it. ``by`` lays the
+    files out in one folder per value, so that a reader of one value opens only those.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*by).parquet(path) if by else df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
