@@ -32,12 +32,14 @@ def cohort_activity(
     ts: str,
     unit: str = "quarter",
     sums: Mapping[str, Column] | None = None,
+    calendar: bool = False,
 ) -> DataFrame:
     """One row per customer and active period, with cohort and age.
 
     Rows are first reduced to (customer, period) with partial sums, so a customer with
     a third of all rows becomes as many rows as there are periods. ``sums`` adds
-    summed expressions; ``rows`` counts the source rows.
+    summed expressions; ``rows`` counts the source rows. Ages count the periods present
+    in the table unless ``calendar`` is set.
     """
     sums = dict(sums or {})
     start = F.trunc(F.col(ts), unit)
@@ -46,7 +48,7 @@ def cohort_activity(
         .groupBy(customer, start.alias("_period"))
         .agg(F.count(F.lit(1)).alias("rows"), *[F.sum(e).alias(n) for n, e in sums.items()])
     )
-    placed = period_index(active, "_period", unit, "period_id")
+    placed = period_index(active, "_period", unit, "period_id", calendar)
     mine = Window.partitionBy(customer)
     return placed.select(
         customer,

@@ -199,7 +199,7 @@ def diagnose(
         F.var_pop("_s").alias("store_slope_variance")
     )
     acf = autocorr(
-        corrected, [cols.family], [cols.store], cols.date, "lr_residual", flat=True, name="mean_residual_acf"
+        scored, [cols.family], [cols.store], cols.date, "lr_residual", flat=True, name="mean_residual_acf"
     )
     metrics = (
         family_metrics(test, [cols.family], cols.value, "lr_pred_corr", "hybrid_pred", "xgb_pred")

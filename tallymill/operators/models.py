@@ -21,7 +21,7 @@ from tallymill.operators.encode import ordinal_code, sample_bucket
 from tallymill.operators.forecast import in_parallel, parameter_grid
 from tallymill.operators.quantiles import exact_quantiles
 from tallymill.operators.reshape import dummies, fit_labels
-from tallymill.session import ensure_checkpoint_dir
+from tallymill.session import ensure_checkpoint_dir, stored
 
 # A target-encoded column keeps its category table in the model up to this size.
 _CATEGORY_LIMIT = 100_000
@@ -241,7 +241,7 @@ def kmeans_feature(
 
     Also returns the silhouette (squared Euclidean) of every ``k``.
     """
-    ready = _scaled(df, cols, "_features", True).persist()
+    ready = stored(_scaled(df, cols, "_features", True), "scaled")
     judge = ClusteringEvaluator(featuresCol="_features", predictionCol=name, metricName="silhouette")
     scores, models = [], []
     for k in ks:

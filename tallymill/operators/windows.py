@@ -168,22 +168,33 @@ def time_index(
     )
 
 
-def period_index(df: DataFrame, ts: str, unit: str, name: str = "period_id") -> DataFrame:
+# Months in each calendar unit.
+_UNIT_MONTHS = {"month": 1, "quarter": 3, "year": 12}
+
+
+def period_index(
+    df: DataFrame, ts: str, unit: str, name: str = "period_id", calendar: bool = False
+) -> DataFrame:
     """Position of the row's quarter, month, … among those present; gaps compress.
 
-    The periods are at most the distinct dates (see :func:`time_index`), so they are
-    broadcast.
+    With ``calendar`` an absent period still counts. The periods are at most the
+    distinct dates (see :func:`time_index`), so they are broadcast.
     """
     start = F.trunc(F.col(ts), unit)
+    began = F.col("_start").alias(f"{name}_start")
+    placed = df.withColumn("_start", start)
+    if calendar:
+        month = F.year("_start") * 12 + F.month("_start")
+        first = df.agg(F.min(start)).scalar()
+        since = month - (F.year(first) * 12 + F.month(first))
+        return placed.select(
+            *df.columns, F.floor(since / _UNIT_MONTHS[unit]).cast("int").alias(name), began
+        )
     periods = df.where(start.isNotNull()).select(start.alias("_start")).distinct()
     numbered = periods.withColumn(
         name, (F.row_number().over(Window.orderBy("_start")) - 1).cast("int")
     )
-    return (
-        df.withColumn("_start", start)
-        .join(F.broadcast(numbered), "_start", "left")
-        .select(*df.columns, name, F.col("_start").alias(f"{name}_start"))
-    )
+    return placed.join(F.broadcast(numbered), "_start", "left").select(*df.columns, name, began)
 
 
 def autocorr(

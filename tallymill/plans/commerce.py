@@ -203,7 +203,7 @@ def _lines_per_order(t):
     "price_freight_by_month",
     """
     SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS year_month,
-           round(sum(l_extendedprice), 2) AS price, count(*) AS num_orders, round(avg(l_tax), 6) AS avg_value
+           round(sum(l_extendedprice), 2) AS price, count(*) AS num_orders, round(avg(l_tax), 8) AS avg_value
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey
     WHERE o_orderdate >= DATE '1997-01-01' AND o_orderdate < DATE '1998-09-01'
     GROUP BY 1 ORDER BY 1
@@ -221,7 +221,7 @@ def price_freight_by_month(t):
             F.try_divide(F.sum("tax"), F.sum("n_tax")).alias("avg_value"),
         )
     )
-    return rounded(out, price=2, avg_value=6).orderBy("year_month")
+    return rounded(out, price=2, avg_value=8).orderBy("year_month")
 
 
 @query(

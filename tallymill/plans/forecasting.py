@@ -125,10 +125,10 @@ def centered_average(t):
     "weekday_profile",
     _PANEL_SQL
     + """
-    SELECT family, store, 'dayofweek' AS part, CAST(isodow(date) - 1 AS INTEGER) AS value, round(avg(sales), 4) AS mean_sales
+    SELECT family, store, 'dayofweek' AS part, CAST(isodow(date) - 1 AS INTEGER) AS value, round(avg(sales), 6) AS mean_sales
     FROM panel GROUP BY ALL
     UNION ALL
-    SELECT family, store, 'month', CAST(month(date) AS INTEGER), round(avg(sales), 4) FROM panel GROUP BY ALL
+    SELECT family, store, 'month', CAST(month(date) AS INTEGER), round(avg(sales), 6) FROM panel GROUP BY ALL
     """,
 )
 def weekday_profile(t):
@@ -146,7 +146,7 @@ def weekday_profile(t):
         .groupBy(*_KEYS, "part", "value")
         .agg((F.sum("s") / F.sum("n")).alias("mean_sales"))
     )
-    return rounded(out, mean_sales=4)
+    return rounded(out, mean_sales=6)
 
 
 @query(

@@ -121,6 +121,8 @@ def test_time_and_period_index_compress_gaps(spark):
     assert [r.time_idx for r in time_index(df, "d").orderBy(F.asc_nulls_last("d")).collect()] == [0, 1, 2, 3, None]
     got = period_index(df, "d", "quarter").orderBy(F.asc_nulls_last("d")).collect()
     assert [r.period_id for r in got] == [0, 0, 1, 2, None]
+    by_calendar = period_index(df, "d", "quarter", calendar=True).orderBy(F.asc_nulls_last("d"))
+    assert [r.period_id for r in by_calendar.collect()] == [0, 0, 3, 5, None]
 
 
 def test_autocorr_flat_and_per_store(spark):
