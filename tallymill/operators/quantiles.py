@@ -10,6 +10,7 @@ rough the sketch is; the sketch only sets how many values are left to order.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,9 +42,10 @@ def exact_quantiles(
         cut = values.join(values.groupBy(*keys).agg(sketch), keys)
     else:
         cut = values.withColumn("_edges", values.agg(sketch).scalar())
-    cut = cut.withColumn(
-        "_part", F.size(F.filter("_edges", lambda e: e <= F.col("_v")))
-    ).drop("_edges")
+    # Number of edges at or below the value. The edges are few and their number is known,
+    # so this is a sum of comparisons in generated code.
+    passed = [(F.col("_edges")[i] <= F.col("_v")).cast("int") for i in range(len(around))]
+    cut = cut.withColumn("_part", reduce(lambda a, b: a + b, passed)).drop("_edges")
 
     # One row per group and interval.
     by_part = cut.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"))
@@ -63,39 +65,32 @@ def exact_quantiles(
             for end, fn in (("lo", F.floor), ("hi", F.ceil))
         ]
     )
-    wanted = (
-        starts.withColumn("_ranks", ranks)
-        .withColumn(
-            "_ranks",
-            F.filter(
-                "_ranks",
-                lambda r: (r["rank"] >= F.col("_start"))
-                & (r["rank"] < F.col("_start") + F.col("_n")),
-            ),
-        )
-        .where(F.size("_ranks") > 0)
-        .select(*keys, "_part", "_start", "_all", "_ranks")
-    )
 
+    def ranks_between(first, end):
+        return F.filter(ranks, lambda r: (r["rank"] >= first) & (r["rank"] < end))
+
+    wanted = starts.where(
+        F.size(ranks_between(F.col("_start"), F.col("_start") + F.col("_n"))) > 0
+    ).select(*keys, "_part", "_start", "_all")
+
+    # Only the values of those intervals are counted one by one and ordered.
     on = [*keys, "_part"]
     counted = (
-        cut.join(wanted.select(*on), on, "left_semi")
+        cut.join(wanted, on)
         .groupBy(*on, "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.max("_start").alias("_start"),
+            F.max("_all").alias("_all"),
+        )
     )
     inside = Window.partitionBy(*on).orderBy("_v")
-    placed = counted.withColumn("_end", F.sum("_n").over(inside)).join(wanted, on)
+    placed = counted.withColumn("_end", F.col("_start") + F.sum("_n").over(inside))
     hits = placed.select(
         *keys,
         "_v",
         "_all",
-        F.explode(
-            F.filter(
-                "_ranks",
-                lambda r: (r["rank"] < F.col("_start") + F.col("_end"))
-                & (r["rank"] >= F.col("_start") + F.col("_end") - F.col("_n")),
-            )
-        ).alias("_hit"),
+        F.explode(ranks_between(F.col("_end") - F.col("_n"), F.col("_end"))).alias("_hit"),
     )
 
     def at(slot):
