@@ -9,7 +9,8 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -253,10 +254,19 @@ def kmeans_feature(
 
 
 def pca(df: DataFrame, cols: Sequence[str], standardized: bool = True) -> tuple[DataFrame, DataFrame, list[float]]:
-    """Component scores, loadings (long form) and explained variance ratios."""
+    """Component scores, loadings (long form) and explained variance ratios.
+
+    The sign of a component is arbitrary; here its first loading is never negative, so
+    that repeated runs agree.
+    """
     ready = _scaled(df, cols, "_features", standardized)
-    model = PCA(k=len(cols), inputCol="_features", outputCol="_scores").fit(ready)
+    model = PCA(k=len(cols), inputCol="_features", outputCol="_raw_scores").fit(ready)
     loadings = model.pc.toArray()
+    signs = [-1.0 if x < 0 else 1.0 for x in loadings[0]]
+    loadings = loadings * signs
+    turned = ElementwiseProduct(
+        scalingVec=Vectors.dense(signs), inputCol="_raw_scores", outputCol="_scores"
+    )
     cells = [
         F.struct(
             F.lit(c).alias("feature"), F.lit(f"PC{j + 1}").alias("component"),
@@ -266,4 +276,5 @@ def pca(df: DataFrame, cols: Sequence[str], standardized: bool = True) -> tuple[
         for j in range(len(cols))
     ]
     table = df.sparkSession.range(1).select(F.inline(F.array(*cells)))
-    return model.transform(ready).drop("_features"), table, model.explainedVariance.toArray().tolist()
+    scores = turned.transform(model.transform(ready)).drop("_features", "_raw_scores")
+    return scores, table, model.explainedVariance.toArray().tolist()

@@ -296,9 +296,17 @@ def pca_loadings(t):
     return loadings.withColumn("explained", F.element_at(shares, F.col("component")))
 
 
-@query("pca_scores")
+@query(
+    "pca_scores",
+    """
+    WITH z AS (SELECT p_partkey, (p_size - avg(p_size) OVER ()) / stddev_samp(p_size) OVER () AS a,
+                      (p_retailprice - avg(p_retailprice) OVER ()) / stddev_samp(p_retailprice) OVER () AS b FROM part),
+         r AS (SELECT sign(corr(a, b)) AS s FROM z)
+    SELECT p_partkey, round((a + s * b) / sqrt(2), 6) + 0.0 AS pc1, round((a - s * b) / sqrt(2), 6) + 0.0 AS pc2 FROM z, r
+    """,
+)
 def pca_scores(t):
-    """First two component scores of every part."""
+    """Both component scores of every part; of two z-scores these are their sum and difference."""
     out, _, _ = pca(t.part.select("p_partkey", "p_size", "p_retailprice"), ["p_size", "p_retailprice"])
     scores = vector_to_array("_scores")
-    return out.select("p_partkey", scores[0].alias("pc1"), scores[1].alias("pc2"))
+    return rounded(out.select("p_partkey", scores[0].alias("pc1"), scores[1].alias("pc2")), pc1=6, pc2=6)
