@@ -47,30 +47,34 @@ def with_positions(
     blocks: Sequence[Column],
     name: str = "_pos",
 ) -> DataFrame:
-    """Number the rows of each series from 0 along ``order``.
+    """Number the rows of each series from 0 along ``order`` (nulls last).
 
     ``blocks`` must never decrease along ``order``. Rows are numbered inside
     (series, block); the offset of a block is the running total of the block counts,
     a table of one row per series and block. Rows with a null key are dropped.
     """
-    names = [f"_block_{i}" for i in range(len(blocks))]
     for key in keys:
         df = df.where(F.col(key).isNotNull())
-    tagged = df.withColumns(dict(zip(names, blocks)))
+    # A struct is never null itself, so rows of a null block find their offset too; the
+    # flags put those blocks last.
+    block = F.struct(*[part for b in blocks for part in (b.isNull(), b)])
+    tagged = df.withColumn("_block", block)
     before = (
         Window.partitionBy(*keys)
-        .orderBy(*names)
+        .orderBy("_block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = (
-        tagged.groupBy(*keys, *names)
+        tagged.groupBy(*keys, "_block")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*keys, *names, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+        .select(*keys, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    )
+    inside = Window.partitionBy(*keys, "_block").orderBy(
+        *[F.col(c).asc_nulls_last() for c in order]
     )
-    inside = Window.partitionBy(*keys, *names).orderBy(*order)
     return (
         tagged.withColumn("_row", F.row_number().over(inside) - 1)
-        .join(offsets, [*keys, *names])
+        .join(offsets, [*keys, "_block"])
         .withColumn(name, F.col("_row") + F.col("_offset"))
         .select(*df.columns, name)
     )
