@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,24 +24,26 @@ def build_session(app: str = "tallymill", master: str | None = None, **conf) ->
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder every executor can reach: the one named by ``spark.checkpoint.dir``.
+    """This application's folder for intermediate tables; every executor can reach it.
 
-    Only a local master may fall back to a folder of this machine; on a cluster an
-    unset folder is an error, because other executors could not read it.
+    It lies below ``spark.checkpoint.dir``, or below the session's warehouse folder where
+    that is unset, whatever the master is. Its file system deletes it when the
+    application ends, so results that still read from it stay valid until then.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tallymill-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    base = spark.conf.get("spark.checkpoint.dir", None) or (
+        spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+    )
+    root = f"{base.rstrip('/')}/tallymill-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the scratch folder."""
-    return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
