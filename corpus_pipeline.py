@@ -2,14 +2,21 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is written as
 Parquet and read again as the next stage's documents. All stages but the last return the
-columns of ``documents``.
+columns of ``documents``. Rows without an id are scored, cleaned and packed like others;
+they have no name by which copies or benchmark passages could be traced to them, so those
+two stages keep them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallymill.llm.decontamination import contaminated
+from tallymill.llm.near_duplicates import near_duplicates
 from tallymill.llm.packing import retrieval_pack
+from tallymill.llm.personal_data import sanitise
+from tallymill.llm.quality import fit_quality, learnable, score_quality
 from tallymill.llm.registry import table
 from tallymill.session import stored
 
@@ -18,12 +25,43 @@ from tallymill.session import stored
 ORACLE_SQL = None
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorisation machine scores 0.5 or more stay."""
+    machine = fit_quality(learnable(docs), table(spark, sf_dir, "labels"))
+    scored = score_quality(docs, machine, score="_quality")
+    return scored.filter(F.col("_quality") >= 0.5).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, the one with the smallest id."""
+    kept = near_duplicates(docs).filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    found = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that disclose it are replaced; ``n_chars`` follows the text."""
+    clean = sanitise(docs, names=("_base", "_spans", "_sanitised"))
+    new = {"text": F.col("_sanitised"), "n_chars": F.length("_sanitised").cast("long")}
+    return clean.select(*(new[c].alias(c) if c in new else F.col(c) for c in docs.columns))
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack all documents that were kept into sequences of at most 1024 tokens."""
+    """All documents that were kept, packed into sequences of at most 1024 tokens."""
     return retrieval_pack(docs)
 
 
 STAGES = [
+    ("quality", quality),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
     ("packing", packing),
 ]
 

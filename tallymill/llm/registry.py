@@ -30,3 +30,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def held_out(doc_id: Column) -> Column:
     """Rows that no model may learn from: crc32 of the id as text leaves 1 modulo 3."""
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 3 == 1, F.lit(False))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is worked out once per row.
+
+    A column that is named inside a higher-order function's lambda may be replaced by its
+    definition and worked out again for every element; a lambda's own variable is not.
+    """
+    return F.transform(F.array(value), body)[0]
