@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is worked out once per row.
+
+    A column that is named inside a higher-order function's lambda may be replaced by its
+    definition and worked out again for every element; a lambda's own variable is not.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def clip_lower(value: Column, bound: float = 0.0) -> Column:
     """``value`` raised to ``bound``; null stays null (``greatest`` alone would skip it)."""
     return F.when(value.isNotNull(), F.greatest(value, F.lit(bound)))

@@ -22,10 +22,6 @@ _KINDS = {
     "time": (DateType, TimestampType, TimestampNTZType),
 }
 
-# A lookup up to this size is compiled into the expression; up to the second it is
-# broadcast; beyond that it is an ordinary join.
-_LITERAL_LOOKUP = 200
-_BROADCAST_LOOKUP = 100_000
 
 
 def most_frequent(df: DataFrame, col: str) -> Column:
@@ -66,20 +62,12 @@ def keep_dense_columns(df: DataFrame, max_nulls: int) -> DataFrame:
 
 
 def low_cardinality_columns(df: DataFrame, n: int, cols: list[str] | None = None) -> list[str]:
-    """Text columns with fewer than ``n`` distinct values.
-
-    A first pass with sketches drops the columns that are far above the bound, so
-    identifiers and free text never enter the exact count.
-    """
+    """Text columns with fewer than ``n`` distinct values, by an exact count of digests."""
     cols = columns_of_type(df, "text") if cols is None else cols
     if not cols:
         return []
-    rough = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    close = [c for c in cols if rough[c] <= 10 * n]
-    if not close:
-        return []
-    exact = df.agg(*[F.count_distinct(c).alias(c) for c in close]).first()
-    return [c for c in close if exact[c] < n]
+    exact = df.agg(*[F.count_distinct(F.sha2(c, 256)).alias(c) for c in cols]).first()
+    return [c for c in cols if exact[c] < n]
 
 
 def rows_at_extreme(df: DataFrame, col: str, which: str = "max") -> DataFrame:
@@ -88,19 +76,19 @@ def rows_at_extreme(df: DataFrame, col: str, which: str = "max") -> DataFrame:
     return df.where(F.col(col) == df.agg(pick(col)).scalar())
 
 
-def map_values(df: DataFrame, col: str, mapping: Mapping, name: str) -> DataFrame:
-    """Look ``col`` up in a driver-side dictionary; null where it is missing."""
-    kind = df.schema[col].dataType
-    if len(mapping) <= _LITERAL_LOOKUP:
-        pairs = [F.lit(x) for kv in mapping.items() for x in kv]
-        if not pairs:
-            return df.withColumn(name, F.lit(None).cast("string"))
-        return df.withColumn(name, F.try_element_at(F.create_map(*pairs), F.col(col)))
-    dim = df.sparkSession.createDataFrame(
-        [(k, v) for k, v in mapping.items()], ["_lookup_key", name]
-    ).withColumn("_lookup_key", F.col("_lookup_key").cast(kind))
-    if len(mapping) <= _BROADCAST_LOOKUP:
-        dim = F.broadcast(dim)
+def map_values(
+    df: DataFrame, col: str, mapping: Mapping | DataFrame, name: str, kind: str = "string"
+) -> DataFrame:
+    """Look ``col`` up in a dictionary or a two-column table; null where it is missing.
+
+    ``kind`` is the type of a dictionary's values. It is one join in every case; Spark
+    sends the table to all tasks when its size allows that.
+    """
+    if isinstance(mapping, DataFrame):
+        dim = mapping.toDF("_lookup_key", name)
+    else:
+        key = df.schema[col].dataType.simpleString()
+        dim = df.sparkSession.createDataFrame(list(mapping.items()), f"_lookup_key {key}, `{name}` {kind}")
     return df.join(dim, F.col(col) == F.col("_lookup_key"), "left").drop("_lookup_key")
 
 

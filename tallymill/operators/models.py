@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark import keyword_only
@@ -22,11 +23,7 @@ from tallymill.operators.encode import ordinal_code, sample_bucket
 from tallymill.operators.forecast import in_parallel, parameter_grid
 from tallymill.operators.quantiles import exact_quantiles
 from tallymill.operators.reshape import dummies, fit_labels
-from tallymill.session import ensure_checkpoint_dir, stored
-
-# A target-encoded column keeps its category table in the model up to this size.
-_CATEGORY_LIMIT = 100_000
-
+from tallymill.session import ensure_checkpoint_dir, scratch_path, stored
 
 class TablePreprocessor(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     """Column-wise imputation and encoding into one ``features`` vector.
@@ -37,7 +34,9 @@ class TablePreprocessor(Estimator, DefaultParamsReadable, DefaultParamsWritable)
     ``one_hot``: text columns, filled by the most frequent value, unknown is all zero;
     ``ordinal``: {column: {"grades": [...], "fill": grade or None}}, None fills by the
     most frequent value and an unknown grade is an error;
-    ``target``: {"columns": [...], "label": column, "m": 5.0} for smoothed means.
+    ``target``: {"columns": [...], "label": column, "m": 5.0} for smoothed means. Their
+    tables are written, and joined when rows are encoded, so any number of categories
+    works; give a lasting ``"folder"`` to a model that outlives its application.
     """
 
     spec = Param(Params._dummy(), "spec", "what to do with which column (JSON)", TypeConverters.toString)
@@ -80,19 +79,19 @@ class TablePreprocessor(Estimator, DefaultParamsReadable, DefaultParamsWritable)
             "target": {},
         }
         for c in target["columns"] if target else []:
-            m = target.get("m", 5.0)
-            rows = (
+            m, prior = target.get("m", 5.0), F.lit(fitted["prior"])
+            means = (
                 dataset.where(F.col(c).isNotNull())
-                .groupBy(c)
-                .agg(F.sum(target["label"]).alias("s"), F.count(target["label"]).alias("n"))
-                .limit(_CATEGORY_LIMIT + 1)
-                .collect()
+                .groupBy(F.col(c).cast("string").alias("category"))
+                .agg(F.sum(target["label"]).cast("double").alias("s"), F.count(target["label"]).alias("n"))
+                .where("n > 0")
+                .select("category", ((F.col("s") + m * prior) / (F.col("n") + m)).alias("mean"))
             )
-            if len(rows) > _CATEGORY_LIMIT:
-                raise ValueError(f"{c} has too many categories; use m_estimate_encode")
-            fitted["target"][c] = {
-                str(r[c]): (r["s"] + m * fitted["prior"]) / (r["n"] + m) for r in rows if r["n"]
-            }
+            folder = target.get("folder")
+            name = f"target-means-{uuid.uuid4().hex}"
+            path = f"{folder.rstrip('/')}/{name}" if folder else scratch_path(dataset.sparkSession, name)
+            means.write.parquet(path)
+            fitted["target"][c] = path
         return TablePreprocessorModel(spec=json.dumps(spec), fitted=json.dumps(fitted))
 
 
@@ -123,23 +122,30 @@ class TablePreprocessorModel(Model, DefaultParamsReadable, DefaultParamsWritable
             fill = how.get("fill") or fitted["mode"][c]
             code = ordinal_code(c, how["grades"])
             out[f"{c}_grade"] = F.coalesce(code, F.lit(how["grades"].index(fill))).cast("double")
-        target = spec.get("target")
-        for c in target["columns"] if target else []:
-            pairs = [F.lit(x) for kv in fitted["target"][c].items() for x in kv]
-            known = F.try_element_at(F.create_map(*pairs), F.col(c).cast("string"))
-            out[f"{c}_mean"] = F.coalesce(known, F.lit(fitted["prior"]))
+        for i, c in enumerate(fitted["target"]):
+            out[f"{c}_mean"] = F.coalesce(F.col(f"_mean_{i}"), F.lit(fitted["prior"]))
         return out
 
+    def _with_means(self, dataset: DataFrame) -> DataFrame:
+        """``dataset`` with the fitted mean of each target-encoded category."""
+        fitted = json.loads(self.getOrDefault(self.fitted))
+        for i, (c, path) in enumerate(fitted["target"].items()):
+            means = dataset.sparkSession.read.parquet(path).toDF(f"_category_{i}", f"_mean_{i}")
+            dataset = dataset.join(
+                means, F.col(c).cast("string") == F.col(f"_category_{i}"), "left"
+            ).drop(f"_category_{i}")
+        return dataset
+
     def feature_names(self) -> list[str]:
         return list(self._columns())
 
     def encode(self, dataset: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """``keep`` and one numeric column per feature."""
-        return dataset.select(*keep, *[e.alias(n) for n, e in self._columns().items()])
+        return self._with_means(dataset).select(*keep, *[e.alias(n) for n, e in self._columns().items()])
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         made = {f"_f_{n}": e for n, e in self._columns().items()}
-        wide = dataset.withColumns(made)
+        wide = self._with_means(dataset).withColumns(made).select(*dataset.columns, *made)
         return (
             VectorAssembler(inputCols=list(made), outputCol="features").transform(wide).drop(*made)
         )
@@ -188,12 +194,14 @@ def grid_search(
                 model.transform(check).agg(F.avg(F.abs(F.col(label) - F.col("prediction")))).first()[0]
             )
 
-        found = in_parallel(df.sparkSession, [lambda p=p: one(p) for p in combos], threads)
+        try:
+            found = in_parallel(df.sparkSession, [lambda p=p: one(p) for p in combos], threads)
+        finally:
+            ready.unpersist()
+            check.unpersist()
         for kept, error in zip(errors, found):
             if error is not None:
                 kept.append(error)
-        ready.unpersist()
-        check.unpersist()
     means = [sum(e) / len(e) for e in errors]
     best = combos[means.index(min(means))]
     prepared = preprocessor.fit(df)

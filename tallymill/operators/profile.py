@@ -11,11 +11,6 @@ from pyspark.sql.types import StringType
 
 from tallymill.operators.quantiles import exact_quantiles
 
-# Texts longer than this are told apart by their digest, so that counting the distinct
-# ones does not shuffle the texts themselves.
-_LONG_TEXT = 64
-
-
 def profile(df: DataFrame, dataset_name: str | None = None) -> DataFrame:
     """One row per column: nulls, percent null, type, distinct values of text columns.
 
@@ -26,8 +21,8 @@ def profile(df: DataFrame, dataset_name: str | None = None) -> DataFrame:
         col = F.col(f"`{field.name}`")
         aggs.append(F.count_if(col.isNull()).alias(f"_nulls_{i}"))
         if isinstance(field.dataType, StringType):
-            short = F.when(F.length(col) > _LONG_TEXT, F.sha2(col, 256)).otherwise(col)
-            aggs.append(F.count_distinct(short).alias(f"_distinct_{i}"))
+            # Digests are counted, so no text is shuffled.
+            aggs.append(F.count_distinct(F.sha2(col, 256)).alias(f"_distinct_{i}"))
     rows = []
     for i, field in enumerate(df.schema.fields):
         text = isinstance(field.dataType, StringType)

@@ -40,35 +40,41 @@ def unpivot(df: DataFrame, keys: Sequence[str], cols: Sequence[str], names=("col
     return df.unpivot(list(keys), list(cols), *names)
 
 
-def fit_labels(df: DataFrame, cols: Sequence[str], limit: int = 1000) -> dict[str, list]:
-    """Sorted distinct labels per column. Runs one bounded job per column.
+def fit_labels(df: DataFrame, cols: Sequence[str]) -> dict[str, list]:
+    """Sorted distinct labels per column, in one job for all columns.
 
-    More than ``limit`` labels is an error: such a column is an identifier, and one
-    column per label would not be a usable table.
+    Every label becomes a column of the caller's table, so they all come to the driver;
+    encode columns of identifiers by ``factorize`` or ``m_estimate_encode`` instead.
     """
-    out = {}
-    for col in cols:
-        found = (
-            df.where(F.col(col).isNotNull()).select(col).distinct().orderBy(col).limit(limit + 1).collect()
-        )
-        if len(found) > limit:
-            raise ValueError(f"{col} has more than {limit} labels")
-        out[col] = [r[0] for r in found]
-    return out
+    if not cols:
+        return {}
+    sets = df.agg(*[F.sort_array(F.collect_set(F.col(f"`{c}`"))).alias(f"_{i}") for i, c in enumerate(cols)]).first()
+    return {c: list(sets[i]) for i, c in enumerate(cols)}
 
 
 def dummy_name(prefix: str, label) -> str:
     return f"{prefix}_{label}".replace(" ", "_").replace(".", "_").replace("`", "")
 
 
+def dummy_names(prefix: str, labels: Sequence) -> list[str]:
+    """A name per label; labels that would share a name get their number behind it."""
+    out: list[str] = []
+    for i, label in enumerate(labels):
+        name = dummy_name(prefix, label)
+        while name in out:
+            name = f"{name}_{i}"
+        out.append(name)
+    return out
+
+
 def dummies(
     col: str, labels: Sequence, drop_first: bool = False, prefix: str | None = None
 ) -> dict[str, Column]:
     """0/1 columns for given labels; null and unknown labels are 0 everywhere."""
     kept = labels[1:] if drop_first else labels
+    names = dummy_names(prefix or col, kept)
     return {
-        dummy_name(prefix or col, v): F.coalesce((F.col(col) == F.lit(v)).cast("int"), F.lit(0))
-        for v in kept
+        n: F.coalesce((F.col(col) == F.lit(v)).cast("int"), F.lit(0)) for n, v in zip(names, kept, strict=True)
     }
 
 

@@ -63,7 +63,7 @@ class FeatureSpec:
 def fit_spec(
     df: DataFrame, cols: PanelColumns = PanelColumns(), lags: Sequence[int] = (), rolls: Sequence[int] = ()
 ) -> FeatureSpec:
-    """Labels present in the training rows (bounded; see ``fit_labels``)."""
+    """Labels present in the training rows."""
     calendar = df.select(
         F.col(cols.store).alias("s"),
         F.weekday(cols.date).alias("w"),
@@ -78,8 +78,10 @@ def fill_panel(
 ) -> DataFrame:
     """One row per series and day between the first and last day, 0 where there was none.
 
-    Each distinct series makes its own days, so nothing is joined without a key.
+    Each distinct series makes its own days, so nothing is joined without a key. Rows
+    without a key or a date belong to no series and are dropped.
     """
+    df = df.dropna(subset=[*keys, date])
     ends = df.agg(
         F.struct(F.min(date).alias("lo"), F.max(date).alias("hi")).alias("v")
     ).scalar()

@@ -6,12 +6,11 @@ import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from tallymill.functions.columns import pearson
+from tallymill.functions.columns import let, pearson
 from tallymill.functions.scalars import totals
 from tallymill.operators.quantiles import exact_quantiles
 from tallymill.operators.windows import lag_of, series_window
@@ -117,17 +116,71 @@ def histogram(
     return out.select(*picked)
 
 
+def histograms(df: DataFrame, cols: Sequence[str], bins: int) -> DataFrame:
+    """Counts of ``bins`` even bins per column, in two scans for all columns together."""
+    values = [F.col(c).cast("double") for c in cols]
+    found = df.agg(
+        *[F.min(v).alias(f"lo_{i}") for i, v in enumerate(values)],
+        *[F.max(v).alias(f"hi_{i}") for i, v in enumerate(values)],
+    )
+    flat = [F.col(f"lo_{i}") == F.col(f"hi_{i}") for i in range(len(cols))]
+    shapes = found.select(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(c).alias("column_name"),
+                    F.when(flat[i], F.col(f"lo_{i}") - 0.5).otherwise(F.col(f"lo_{i}")).alias("lo"),
+                    F.when(flat[i], F.lit(1.0)).otherwise(F.col(f"hi_{i}") - F.col(f"lo_{i}")).alias("range"),
+                )
+                for i, c in enumerate(cols)
+            ]
+        ).alias("v")
+    )
+    s = shapes.scalar()
+    entries = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.least(
+                F.lit(bins - 1), F.floor((v - s[i]["lo"]) / (s[i]["range"] / bins)).cast("int")
+            ).alias("bin"),
+            v.isNotNull().alias("known"),
+        )
+        for i, (c, v) in enumerate(zip(cols, values, strict=True))
+    ]
+    counts = (
+        df.select(F.inline(F.array(*entries)))
+        .where("known")
+        .groupBy("column_name", "bin")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    width = F.col("range") / bins
+    return (
+        df.sparkSession.range(0, 1, 1, 1)
+        .select(F.inline(s))
+        .where(F.col("lo").isNotNull())
+        .withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+        .join(counts, ["column_name", "bin"], "left")
+        .select(
+            "column_name",
+            "bin",
+            (F.col("lo") + F.col("bin") * width).alias("bin_start"),
+            (F.col("lo") + (F.col("bin") + 1) * width).alias("bin_end"),
+            F.coalesce(F.col("_n"), F.lit(0)).alias("n"),
+        )
+    )
+
+
 def kde(
     df: DataFrame, col: str, points: int = 64, bandwidth: float | None = None, cut: float = 3.0
 ) -> DataFrame:
     """Gaussian kernel density on an even grid reaching ``cut`` bandwidths past the data.
 
-    The default bandwidth is the sample deviation times n^(-1/5). Equal values are
-    counted first, then every grid point is one sum of the same aggregation: rows are
-    never multiplied by the grid.
+    The default bandwidth is the sample deviation times n^(-1/5). Every grid point is
+    one sum of the same aggregation, added up in each task before one row per task is
+    shuffled: rows are neither multiplied by the grid nor moved.
     """
     v = F.col(col).cast("double")
-    values = df.where(v.isNotNull()).groupBy(v.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    values = df.where(v.isNotNull()).select(v.alias("_v"))
     raw = df.agg(
         F.count(v).alias("n"), F.stddev_samp(v).alias("s"), F.min(v).alias("lo"), F.max(v).alias("hi")
     )
@@ -142,7 +195,7 @@ def kde(
     at = [F.col("_g.x0") + F.col("_g.dx") * j for j in range(points)]
     z = [F.try_divide(x - F.col("_v"), F.col("_g.h")) for x in at]
     one = values.withColumn("_g", grid).agg(
-        *[F.sum(F.col("_n") * F.exp(zj * zj * -0.5)).alias(f"_{j}") for j, zj in enumerate(z)]
+        *[F.sum(F.exp(zj * zj * -0.5)).alias(f"_{j}") for j, zj in enumerate(z)]
     ).withColumn("_g", grid)
     scale = F.col("_g.n") * F.col("_g.h") * math.sqrt(2 * math.pi)
     return one.select("_g", F.posexplode(F.array(*[f"_{j}" for j in range(points)])).alias("i", "_s")).select(
@@ -159,19 +212,18 @@ def box_stats(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
     iqr = F.col("q3") - F.col("q1")
     low, high = F.col("q1") - iqr * 1.5, F.col("q3") + iqr * 1.5
     inside = (F.col("_v") >= low) & (F.col("_v") <= high)
-    # Equal values collapse before the join, so a large group joins as few rows.
-    counted = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    # The few quartile rows join the raw rows, which are then added up in each task.
     return (
-        counted.join(q, list(keys))
+        rows.join(q, list(keys))
         .groupBy(*keys)
         .agg(
-            F.sum("_n").alias("n"),
+            F.count(F.lit(1)).alias("n"),
             F.max("q1").alias("q1"),
             F.max("median").alias("median"),
             F.max("q3").alias("q3"),
             F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
-            F.sum(F.when(~inside, F.col("_n")).otherwise(0)).alias("outliers"),
+            F.count_if(~inside).alias("outliers"),
         )
     )
 
@@ -257,18 +309,36 @@ def series_sanity(df: DataFrame, key: str, value: str) -> DataFrame:
     )
 
 
-def _durbin_levinson(gamma) -> list[float]:
-    """Partial autocorrelations from autocovariances of lags 0..p."""
-    if not gamma[0]:
-        return [float("nan")] * len(gamma)
-    out, phi, var = [1.0], [], gamma[0]
-    for k in range(1, len(gamma)):
-        reach = sum(phi[j] * gamma[k - 1 - j] for j in range(k - 1))
-        a = (gamma[k] - reach) / var if var else float("nan")
-        phi = [phi[j] - a * phi[k - 2 - j] for j in range(k - 1)] + [a]
-        var *= 1 - a * a
-        out.append(a)
-    return out
+def _durbin_levinson(gamma: Column, nlags: int) -> Column:
+    """Partial autocorrelations from the array of autocovariances of lags 0..``nlags``."""
+    none = F.array().cast("array<double>")
+
+    def step(state: Column, k: Column) -> Column:
+        # What the shorter predictor explains of lag k.
+        reach = F.aggregate(
+            F.zip_with(state["phi"], F.reverse(F.slice(gamma, 2, k - 1)), lambda p, g: p * g),
+            F.lit(0.0),
+            lambda a, x: a + x,
+        )
+        new = F.when(state["var"] != 0, (F.get(gamma, k) - reach) / state["var"]).otherwise(float("nan"))
+        return let(
+            new,
+            lambda a: F.struct(
+                F.concat(
+                    F.zip_with(state["phi"], F.reverse(state["phi"]), lambda p, q: p - a * q), F.array(a)
+                ).alias("phi"),
+                (state["var"] * (1 - a * a)).alias("var"),
+                F.concat(state["out"], F.array(a)).alias("out"),
+            ),
+        )
+
+    start = F.struct(
+        none.alias("phi"), F.get(gamma, F.lit(0)).alias("var"), F.array(F.lit(1.0)).alias("out")
+    )
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(nlags)), start, step, lambda s: s["out"])
+    return F.when(F.get(gamma, F.lit(0)) > 0, found).otherwise(
+        F.array_repeat(F.lit(float("nan")), nlags + 1)
+    )
 
 
 def pacf(
@@ -276,38 +346,23 @@ def pacf(
 ) -> DataFrame:
     """Partial autocorrelation of each series for lags 0..``nlags``, long form.
 
-    Autocovariances (divided by n) are sums over lagged products; the recursion then
-    runs on the ``nlags + 1`` numbers of each series.
+    The series' mean is taken off first, so a high level costs no digits. Autocovariances
+    (divided by n) are sums over lagged products; the recursion then runs on the
+    ``nlags + 1`` numbers of each series. Rows with a null key or value are dropped.
     """
+    known = df.dropna(subset=[*keys, col])
+    means = known.groupBy(*keys).agg(F.avg(F.col(col).cast("double")).alias("_mean"))
+    centred = known.join(means, list(keys)).withColumn("_x", F.col(col).cast("double") - F.col("_mean"))
     lagged = series_window(
-        df.where(F.col(col).isNotNull()),
-        keys,
-        order,
-        {f"_l{k}": lag_of(col, k) for k in range(1, nlags + 1)},
-        nlags,
+        centred, keys, order, {f"_l{k}": lag_of("_x", k) for k in range(1, nlags + 1)}, nlags
     )
-    x = F.col(col).cast("double")
-    aggs = [F.count(x).alias("_n"), F.avg(x).alias("_m"), F.sum(x * x).alias("_s0")]
-    for k in range(1, nlags + 1):
-        past = F.col(f"_l{k}").cast("double")
-        held = past.isNotNull()
-        aggs += [
-            F.coalesce(F.sum(x * past), F.lit(0.0)).alias(f"_s{k}"),
-            F.coalesce(F.sum(F.when(held, x) + past), F.lit(0.0)).alias(f"_b{k}"),
-            F.count(past).alias(f"_c{k}"),
-        ]
-    sums = lagged.groupBy(*keys).agg(*aggs)
-    m = F.col("_m")
-    gammas = [(F.col("_s0") - F.col("_n") * m * m) / F.col("_n")] + [
-        (F.col(f"_s{k}") - m * F.col(f"_b{k}") + F.col(f"_c{k}") * m * m) / F.col("_n")
-        for k in range(1, nlags + 1)
+    x = F.col("_x")
+    gammas = [F.avg(x * x)] + [
+        F.coalesce(F.sum(x * F.col(f"_l{k}")), F.lit(0.0)) / F.count(x) for k in range(1, nlags + 1)
     ]
-
-    @F.pandas_udf("array<double>")
-    def solve(gamma: pd.Series) -> pd.Series:
-        return gamma.map(_durbin_levinson)
-
-    return sums.select(*keys, F.posexplode(solve(F.array(*gammas))).alias("lag", "pacf"))
+    sums = lagged.groupBy(*keys).agg(F.array(*gammas).alias("_gamma"))
+    found = let(F.col("_gamma"), lambda g: _durbin_levinson(g, nlags))
+    return sums.select(*keys, F.posexplode(found).alias("lag", "pacf"))
 
 
 def forecast_errors(

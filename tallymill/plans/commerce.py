@@ -16,10 +16,6 @@ from tallymill.operators.cleaning import map_values
 from tallymill.operators.ranking import order_by_labels
 from tallymill.plans.registry import iso, query, rounded
 
-# The region of each nation of the test data, nation number modulo five.
-REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
-NATION_REGION = {f"NATION_{i}": REGIONS[i % 5] for i in range(25)}
-
 
 def orders_with_place(t):
     """Orders with the customer's nation."""
@@ -179,7 +175,8 @@ def orders_by_region_month(t):
     per_customer = within.groupBy("o_custkey", month_start(F.col("o_orderdate")).alias("_m")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    placed = map_values(with_nation(per_customer, t), "n_name", NATION_REGION, "region")
+    regions = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "r_name")
+    placed = map_values(with_nation(per_customer, t), "n_name", regions, "region")
     return (
         placed.where(F.col("region").isNotNull())
         .groupBy(iso(F.col("_m")).alias("year_month"), "region")

@@ -269,6 +269,7 @@ def forecast_scores(t):
         F.col("a").isNotNull()
     )
     rows = rows.withColumn("shift", F.col("b") - F.col("a")).withColumn("r", F.col("sales") - F.col("a"))
+    rows = stored(rows, "forecast-rows")
     _, test = time_split(rows, "date", _SPLIT)
     tables = [
         family_metrics(test, ["family"], "sales", "a", "b", "shift"),
@@ -321,6 +322,6 @@ def family_forecast(t):
     path = scratch_path(t.spark, "family-models")
     save_models(train_all(train, policies, best), path)
     asked = future.drop("sales")
-    out = predict_all(asked, load_models(t.spark, path))
+    out = stored(predict_all(asked, load_models(t.spark, path)), "family-forecast")
     assert_output(out, asked.count(), "sales")
     return rounded(out.withColumn("date", iso(F.col("date"))), sales=4).orderBy("family", "store", "date")

@@ -10,8 +10,6 @@ from tallymill.operators.reshape import pivot_table
 from tallymill.operators.windows import top_n_per_group
 from tallymill.plans.registry import query, rounded
 
-_YEARS = range(1995, 2001)
-
 
 @query(
     "yoy_growth",
@@ -79,14 +77,14 @@ def monthly_counts(t):
 
 @query(
     "monthly_pivot",
-    f"WITH m AS ({_MONTHLY_SQL}) SELECT month, "
-    + ", ".join(f"max(n) FILTER (year = {y}) AS y{y}" for y in _YEARS)
-    + " FROM m GROUP BY month ORDER BY month",
+    f"WITH m AS ({_MONTHLY_SQL}) SELECT year"
+    + "".join(f", max(n) FILTER (month = {number}) AS m{number}" for number in range(1, 13))
+    + " FROM m GROUP BY year ORDER BY year",
 )
 def monthly_pivot(t):
-    return pivot_table(_monthly(t), ["month"], "year", F.first("n"), _YEARS, prefix="y").orderBy(
-        "month"
-    )
+    # Years are rows, so any history fits; the columns are the calendar's twelve months.
+    months = [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12]
+    return pivot_table(_monthly(t), ["year"], "month", F.first("n"), months, prefix="m").orderBy("year")
 
 
 @query(

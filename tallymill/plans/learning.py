@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tallymill.functions.columns import combine_columns, count_positive, ratio_features
@@ -27,15 +27,14 @@ from tallymill.operators.models import (
     pca,
     predict,
 )
-from tallymill.operators.reshape import interaction
+from tallymill.operators.reshape import dummies, fit_labels, interaction
 from tallymill.operators.stats import high_corr_features, mutual_information
 from tallymill.operators.windows import group_stat_feature
 from tallymill.plans.registry import query, rounded
 from tallymill.session import scratch_path, stored
-from tallymill.sources.files import write_csv
+from tallymill.sources.files import read_csv, write_csv
 
 _NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
 
 @query(
@@ -74,44 +73,50 @@ def holdout_encode(t):
 @query(
     "impute_and_encode",
     """
-    WITH raw AS (SELECT p_partkey, CASE WHEN p_partkey % 9 <> 0 THEN p_size END AS size,
-                        CASE WHEN p_partkey % 8 <> 0 THEN p_type END AS type,
-                        CASE WHEN p_partkey % 6 <> 0 THEN CASE p_size % 5 WHEN 0 THEN 'Po' WHEN 1 THEN 'Fa'
-                             WHEN 2 THEN 'TA' WHEN 3 THEN 'Gd' ELSE 'Ex' END END AS grade
-                 FROM part),
-         m AS (SELECT median(size) AS size,
-                      (SELECT type FROM raw WHERE type IS NOT NULL GROUP BY type ORDER BY count(*) DESC, type LIMIT 1) AS type
+    WITH raw AS (SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 9 <> 0 THEN o_custkey END AS buyer,
+                        CASE WHEN o_orderkey % 8 <> 0 THEN o_orderstatus END AS status,
+                        CASE WHEN o_orderkey % 6 <> 0 THEN o_orderpriority END AS grade,
+                        o_orderkey % 5 = 0 AS fifth
+                 FROM orders),
+         m AS (SELECT median(buyer) AS buyer, avg(o_totalprice) AS prior,
+                      (SELECT status FROM raw WHERE status IS NOT NULL GROUP BY status ORDER BY count(*) DESC, status LIMIT 1) AS status
                FROM raw),
-         f AS (SELECT p_partkey, coalesce(raw.size::DOUBLE, m.size) AS size, coalesce(raw.type, m.type) AS type,
-                      coalesce(grade, 'Missing') AS grade FROM raw, m)
-    SELECT p_partkey, size, """
-    + ", ".join(f"(type = '{v}')::INTEGER::DOUBLE AS type_{v}" for v in _TYPES)
-    + """, (list_position(['Missing', 'Po', 'Fa', 'TA', 'Gd', 'Ex'], grade) - 1)::DOUBLE AS grade_grade FROM f
+         d AS (SELECT DISTINCT status FROM raw WHERE status IS NOT NULL),
+         f AS (SELECT fifth, (sum(o_totalprice) + 5 * avg(prior)) / (count(*) + 5) AS mean FROM raw, m GROUP BY fifth)
+    SELECT o_orderkey, coalesce(raw.buyer::DOUBLE, m.buyer) AS buyer,
+           (SELECT string_agg((d.status = coalesce(raw.status, m.status))::INTEGER::VARCHAR, ',' ORDER BY d.status) FROM d) AS status,
+           (list_position(['Missing', '5-LOW', '4-NOT SPECIFIED', '3-MEDIUM', '2-HIGH', '1-URGENT'],
+                          coalesce(grade, 'Missing')) - 1)::DOUBLE AS grade_grade, round(f.mean, 4) AS fifth_mean
+    FROM raw, m JOIN f ON f.fifth = raw.fifth
     """,
 )
 def impute_and_encode(t):
-    # Nulls are put in, since the parts have none; one column is null throughout.
-    key = F.col("p_partkey")
-    grades = F.array(*map(F.lit, ("Po", "Fa", "TA", "Gd", "Ex")))
-    raw = t.part.select(
-        "p_partkey",
-        F.when(key % 9 != 0, F.col("p_size")).alias("size"),
-        F.when(key % 8 != 0, F.col("p_type")).alias("type"),
-        F.when(key % 6 != 0, F.element_at(grades, F.col("p_size") % 5 + 1)).alias("grade"),
+    # Nulls are put in, since the orders have none; one column is null throughout.
+    key = F.col("o_orderkey")
+    raw = t.orders.select(
+        "o_orderkey",
+        F.when(key % 9 != 0, F.col("o_custkey")).alias("buyer"),
+        F.when(key % 8 != 0, F.col("o_orderstatus")).alias("status"),
+        F.when(key % 6 != 0, F.col("o_orderpriority")).alias("grade"),
+        (key % 5 == 0).alias("fifth"),
         F.lit(None).cast("double").alias("empty"),
+        "o_totalprice",
     )
-    rows = raw.count()
-    dense = keep_dense_columns(raw, rows)
+    dense = keep_dense_columns(raw, raw.count())
+    # The order priorities from least to most urgent.
+    grades = ["Missing", "5-LOW", "4-NOT SPECIFIED", "3-MEDIUM", "2-HIGH", "1-URGENT"]
     prepared = TablePreprocessor.of(
         {
-            "median": [c for c in columns_of_type(dense, "number") if c != "p_partkey"],
-            "one_hot": ["type"],
-            "ordinal": {
-                "grade": {"grades": ["Missing", "Po", "Fa", "TA", "Gd", "Ex"], "fill": "Missing"}
-            },
+            "median": [c for c in columns_of_type(dense, "number") if c == "buyer"],
+            "one_hot": ["status"],
+            "ordinal": {"grade": {"grades": grades, "fill": "Missing"}},
+            "target": {"columns": ["fifth"], "label": "o_totalprice", "m": 5.0},
         }
     ).fit(dense)
-    return prepared.encode(dense, ["p_partkey"])
+    wide = prepared.encode(dense, ["o_orderkey"])
+    made = [c for c in prepared.feature_names() if c.startswith("status_")]
+    joined = F.concat_ws(",", *[F.col(c).cast("int") for c in made])
+    return rounded(wide.withColumn("status", joined).drop(*made), fifth_mean=4)
 
 
 def _mi_sql() -> str:
@@ -171,8 +176,9 @@ def high_corr(t):
            CAST(p_retailprice > 0 AS INTEGER) + CAST(big > 0 AS INTEGER) AS n_positive,
            round(avg(p_retailprice) OVER (PARTITION BY p_brand), 4) AS brand_mean,
            """
-    + ", ".join(f"CASE WHEN p_type = '{v}' THEN p_size ELSE 0 END AS p_type_{v}" for v in _TYPES)
-    + " FROM p",
+    + """(SELECT string_agg((CASE WHEN p.p_type = d.p_type THEN p.p_size ELSE 0 END)::VARCHAR, ',' ORDER BY d.p_type)
+             FROM (SELECT DISTINCT p_type FROM part WHERE p_type IS NOT NULL) d) AS size_by_type
+    FROM p""",
 )
 def area_features(t):
     parts = t.part.withColumn("big", F.when(F.col("p_size") > 10, F.col("p_size")).otherwise(0))
@@ -181,11 +187,13 @@ def area_features(t):
         {"price_per_size": (["p_retailprice"], ["p_size"]), "total": (["p_retailprice", "p_size"], None)},
     )
     out = count_positive(out, ["p_retailprice", "big"], "n_positive")
-    out = interaction(out, "p_type", "p_size", _TYPES)
+    # One interaction column per type that the table has, shown in the order of the types.
+    labels = fit_labels(t.part, ["p_type"])["p_type"]
+    out = interaction(out, "p_type", "p_size", labels)
     out = group_stat_feature(out, "p_brand", "p_retailprice", F.avg, "brand_mean")
-    kept = ["p_partkey", "price_per_size", "total", "n_positive", "brand_mean"]
-    out = out.select(*kept, *[f"p_type_{v}" for v in _TYPES])
-    return rounded(out, price_per_size=6, total=4, brand_mean=4)
+    out = out.withColumn("size_by_type", F.concat_ws(",", *[F.col(f"`{n}`") for n in dummies("p_type", labels)]))
+    kept = ["p_partkey", "price_per_size", "total", "n_positive", "brand_mean", "size_by_type"]
+    return rounded(out.select(*kept), price_per_size=6, total=4, brand_mean=4)
 
 
 @query(
@@ -252,8 +260,9 @@ def forest_cv(t):
     grid = {"numTrees": [10], "minInstancesPerNode": [3, 7], "featureSubsetStrategy": ["0.7"]}
     parts, found = _search(t, fit_forest, grid, 5)
     out = predict(found, parts, ["p_partkey"], "predicted")
-    write_csv(out, scratch_path(t.spark, "forest-predictions"))
-    return out
+    path = scratch_path(t.spark, "forest-predictions")
+    write_csv(out, path)
+    return read_csv(t.spark, path, "p_partkey bigint, predicted double")
 
 
 @query("boosted_cv")
@@ -280,11 +289,8 @@ def importance_table(t):
 @query("kmeans_feature")
 def clustered_vectors(t):
     """Cluster of every embedding, number of clusters chosen by silhouette."""
-    names = [f"e{i}" for i in range(64)]
-    vectors = t.embeddings.select(
-        "vec_id", "label", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)]
-    )
-    out, _ = kmeans_feature(vectors, names, (5, 15), seed=0)
+    vectors = t.embeddings.select("vec_id", "label", array_to_vector("embedding").alias("vector"))
+    out, _ = kmeans_feature(vectors, ["vector"], (5, 15), seed=0)
     return out.select("vec_id", "label", "cluster")
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallymill.functions.calendar import between_periods, quarter_label
+from tallymill.functions.scalars import totals
 from tallymill.operators.aggregates import multi_agg, share
-from tallymill.operators.cleaning import rows_at_extreme
 from tallymill.operators.cohorts import cohort_activity, retention, rfm_segments, rfm_table
 from tallymill.operators.ranking import head_tail
 from tallymill.operators.reshape import pivot_table
@@ -32,21 +32,32 @@ from tallymill.session import stored
 )
 def extreme_price_rows(t):
     lines = t.lineitem.select("l_partkey", "l_extendedprice", "l_quantity", "l_discount")
-    most = rows_at_extreme(lines, "l_extendedprice", "max")
-
-    def least(df):
-        rows = rows_at_extreme(df, "l_extendedprice", "min")
-        return rows.groupBy("l_partkey", "l_extendedprice").agg(F.sum("l_quantity").alias("l_quantity"))
-
-    kept = ("l_partkey", "l_extendedprice", "l_quantity")
-    return (
-        most.select(F.lit("most").alias("kind"), *kept)
-        .unionByName(least(lines).select(F.lit("least").alias("kind"), *kept))
-        .unionByName(
-            least(lines.where(F.col("l_discount") > 0)).select(
-                F.lit("least_discounted").alias("kind"), *kept
+    price, reduced = F.col("l_extendedprice"), F.coalesce(F.col("l_discount") > 0, F.lit(False))
+    # The three extremes come from one scan, the rows that have one from another.
+    ends = totals(lines, high=F.max(price), low=F.min(price), low_reduced=F.min(F.when(reduced, price)))
+    rows = lines.where(
+        (price == ends["high"]) | (price == ends["low"]) | (reduced & (price == ends["low_reduced"]))
+    ).select(
+        "l_partkey",
+        "l_extendedprice",
+        "l_quantity",
+        F.explode(
+            F.array_compact(
+                F.array(
+                    F.when(price == ends["high"], F.lit("most")),
+                    F.when(price == ends["low"], F.lit("least")),
+                    F.when(reduced & (price == ends["low_reduced"]), F.lit("least_discounted")),
+                )
             )
-        )
+        ).alias("kind"),
+    )
+    # Every row of the highest price is shown; the others are summed per part.
+    single = F.when(F.col("kind") == "most", F.monotonically_increasing_id()).otherwise(-1)
+    return (
+        rows.withColumn("_row", single)
+        .groupBy("kind", "_row", "l_partkey", "l_extendedprice")
+        .agg(F.sum("l_quantity").alias("l_quantity"))
+        .drop("_row")
     )
 
 
@@ -129,8 +140,6 @@ def best_worst_product(t):
     )
 
 
-_AGES = range(0, 24)
-
 _COHORT_SQL = """
     WITH o AS (SELECT o_custkey, o_orderkey, o_totalprice, CAST(date_trunc('quarter', o_orderdate) AS DATE) AS p
                FROM orders WHERE o_orderdate >= DATE '1996-01-01'),
@@ -151,21 +160,16 @@ def _later_orders(t):
     _COHORT_SQL
     + """
     , c AS (SELECT cohort_id, cohort_start, period_id - cohort_id AS age, count(DISTINCT o_custkey) AS n
-            FROM a GROUP BY ALL),
-      s AS (SELECT *, max(n) FILTER (age = 0) OVER (PARTITION BY cohort_id) AS size FROM c)
-    SELECT cohort_id, 'Q' || quarter(cohort_start) || '/' || year(cohort_start) AS cohort,
-    """
-    + ", ".join(
-        f"max(round_even(n::DOUBLE / size, 2) * 100) FILTER (age = {k}) AS age_{k}" for k in _AGES
-    )
-    + " FROM s GROUP BY 1, 2 ORDER BY 1",
+            FROM a GROUP BY ALL)
+    SELECT cohort_id, 'Q' || quarter(cohort_start) || '/' || year(cohort_start) AS cohort, age,
+           round_even(n::DOUBLE / max(n) FILTER (age = 0) OVER (PARTITION BY cohort_id), 2) * 100 AS retention
+    FROM c
+    """,
 )
 def cohort_retention(t):
+    # One row per cohort and age that occurs, however long the history is.
     long = retention(cohort_activity(_later_orders(t), "o_custkey", "o_orderdate"))
-    labelled = long.withColumn("cohort", quarter_label(F.col("cohort_start")))
-    return pivot_table(
-        labelled, ["cohort_id", "cohort"], "age", F.first("retention"), _AGES, prefix="age_"
-    ).orderBy("cohort_id")
+    return long.select("cohort_id", quarter_label(F.col("cohort_start")).alias("cohort"), "age", "retention")
 
 
 @query(

@@ -92,8 +92,11 @@ def test_one_hot_and_interaction(spark):
     assert [(r.k_b, r.k_c) for r in out.collect()] == [(1, 0), (0, 0), (0, 0)]
     crossed = interaction(test, "k", "n", labels["k"]).orderBy("n").collect()
     assert [(r.k_a, r.k_b) for r in crossed] == [(0, 5), (0, 0), (0, 0)]
-    with pytest.raises(ValueError):
-        fit_labels(train, ["k"], limit=2)
+    many = spark.range(1500).selectExpr("id as k", "'A B' as t").unionByName(spark.range(1).selectExpr("-1L as k", "'A_B' as t"))
+    found = fit_labels(many, ["k", "t"])
+    assert len(found["k"]) == 1501
+    clash = one_hot(many.where("k <= 0"), ["t"], labels=found).orderBy("k").collect()
+    assert [r.asDict() for r in clash] == [{"k": -1, "t_A_B": 0, "t_A_B_1": 1}, {"k": 0, "t_A_B": 1, "t_A_B_1": 0}]
 
 
 def test_head_tail_and_label_order(spark):
