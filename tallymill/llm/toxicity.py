@@ -68,13 +68,15 @@ def votes_of(text: str | None, voters: list[str]) -> np.ndarray:
     return np.array([*fired, sum(hit) > 1, bool(beside), bool(_SHOUT.search(text or "")), not any(hit)], bool)
 
 
-def features_of(text: str | None, voters: list[str]) -> np.ndarray:
-    """Buckets of the words, the word beginnings and the patterns of a text, sorted."""
+def features_of(text: str | None, voters: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets and values: voters and patterns count 1 each, all terms together 1."""
     fired = votes_of(text, voters)
-    names = [p for p, f in zip(PATTERNS, fired[len(voters) :], strict=True) if f]
+    names = [f"vote {v}" for v, f in zip([*voters, *PATTERNS], fired, strict=True) if f]
     if fired[: len(voters)].any():
         names.append(ANY)
-    return np.sort(hashed(terms_of(text) | set(names), BUCKETS)).astype("<i4")
+    voted, terms = np.sort(hashed(names, BUCKETS)), np.sort(hashed(terms_of(text), BUCKETS))
+    values = np.append(np.ones(len(voted)), np.full(len(terms), 1 / np.sqrt(max(1, len(terms)))))
+    return np.concatenate([voted, terms]).astype("<i4"), values.astype("<f4")
 
 
 @dataclass
@@ -121,7 +123,9 @@ def fit_label_model(votes: np.ndarray, against: np.ndarray, rounds: int = 30) ->
     return model
 
 
-def fit_linear(rows: list[np.ndarray], target: np.ndarray, epochs: int = 12, rate: float = 0.3) -> np.ndarray:
+def fit_linear(
+    rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, epochs: int = 12, rate: float = 0.3
+) -> np.ndarray:
     """Weights by feature bucket, the bias last; logistic loss on soft targets."""
     weights, seen = np.zeros(BUCKETS + 1), np.full(BUCKETS + 1, 1e-2)
     if not len(rows):
@@ -133,12 +137,12 @@ def fit_linear(rows: list[np.ndarray], target: np.ndarray, epochs: int = 12, rat
         order = random.permutation(len(rows))
         for at in range(0, len(order), 64):
             chosen = order[at : at + 64]
-            parts = [np.append(rows[i], BUCKETS) for i in chosen]
-            index = np.concatenate(parts)
-            owner = np.repeat(np.arange(len(chosen)), [len(p) for p in parts])
-            error = sigmoid(np.bincount(owner, weights[index], len(chosen))) - target[chosen]
+            index = np.concatenate([np.append(rows[i][0], BUCKETS) for i in chosen])
+            value = np.concatenate([np.append(rows[i][1], 1.0) for i in chosen])
+            owner = np.repeat(np.arange(len(chosen)), [len(rows[i][0]) + 1 for i in chosen])
+            error = sigmoid(np.bincount(owner, weights[index] * value, len(chosen))) - target[chosen]
             touched, place = np.unique(index, return_inverse=True)
-            step = np.bincount(place, error[owner], len(touched)) / len(chosen) + 1e-5 * weights[touched]
+            step = np.bincount(place, error[owner] * value, len(touched)) / len(chosen) + 1e-5 * weights[touched]
             seen[touched] += step * step
             weights[touched] -= rate * step / np.sqrt(seen[touched])
     return weights
@@ -179,11 +183,13 @@ def fit_toxicity(
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            found = [features_of(t, voters) for t in batch["text"]]
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"],
                     "votes": [np.packbits(votes_of(t, voters)).tobytes() for t in batch["text"]],
-                    "index": [features_of(t, voters).tobytes() for t in batch["text"]],
+                    "index": [i.tobytes() for i, _ in found],
+                    "value": [v.tobytes() for _, v in found],
                 }
             )
 
@@ -198,10 +204,14 @@ def fit_toxicity(
         against[-1] = True
         model = fit_label_model(votes, against)
         belief = model.posterior(votes.astype(float))
-        weights = fit_linear([np.frombuffer(i, "<i4") for i in found["index"]], belief)
+        parsed = [
+            (np.frombuffer(i, "<i4"), np.frombuffer(v, "<f4"))
+            for i, v in zip(found["index"], found["value"], strict=True)
+        ]
+        weights = fit_linear(parsed, belief)
         yield pd.DataFrame({"model": [pickle.dumps((weights, model.share, model.on_toxic, model.on_clean, model.weight))]})
 
-    found = sample.mapInPandas(features, "doc_id long, votes binary, index binary")
+    found = sample.mapInPandas(features, "doc_id long, votes binary, index binary, value binary")
     row = found.repartition(1).mapInPandas(fit, "model binary").first()
     if row is None:
         return fit_linear([], np.zeros(0)), None, voters
@@ -219,7 +229,8 @@ def score_toxicity(
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             w, known = model()
-            raw = [float(w[features_of(t, known)].sum() + w[-1]) for t in batch]
+            found = (features_of(t, known) for t in batch)
+            raw = [float(w[i] @ v + w[-1]) for i, v in found]
             yield pd.Series(sigmoid(np.array(raw, float)))
 
     kept = [c for c in docs.columns if c != score]
