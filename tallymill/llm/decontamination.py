@@ -132,12 +132,12 @@ def contaminated(
 
 
 def _seed_sql(words: str, mask: str) -> str:
-    return " || ' ' || ".join(f"{words}[at + {i + 1}]" for i, bit in enumerate(mask) if bit == "1")
+    return " || ' ' || ".join(f"{words}[pos + {i + 1}]" for i, bit in enumerate(mask) if bit == "1")
 
 
-_POSITIONS = "unnest(range(0, len(words) - 7)) AS at"
+_POSITIONS = "unnest(range(0, len(words) - 7)) AS pos"
 _SEEDS = " UNION ALL ".join(
-    f"SELECT id, at, {n} AS mask, {_seed_sql('words', m)} AS seed FROM {{0}}_at" for n, m in enumerate(MASKS)
+    f"SELECT id, pos, {n} AS mask, {_seed_sql('words', m)} AS seed FROM {{0}}_at" for n, m in enumerate(MASKS)
 )
 SQL = f"""
 WITH doc AS (
@@ -151,7 +151,7 @@ item_at AS (SELECT id, words, {_POSITIONS} FROM item WHERE len(words) >= 8),
 doc_seed AS ({_SEEDS.format("doc")}),
 item_seed AS ({_SEEDS.format("item")}),
 placed AS (
-  SELECT DISTINCT d.id AS doc_id, i.id AS item_id, d.at - i.at AS diagonal
+  SELECT DISTINCT d.id AS doc_id, i.id AS item_id, d.pos - i.pos AS diagonal
   FROM doc_seed d JOIN item_seed i ON d.mask = i.mask AND d.seed = i.seed
 ), step AS (
   SELECT p.*, len(item.words) AS item_words, j,

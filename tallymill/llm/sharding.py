@@ -6,7 +6,7 @@ rows are put into ranges, the bytes of every range are counted exactly, and the
 boundaries fall where the running total passes each shard's share. A range that holds a
 boundary is thereby subdivided record by record, and a key whose records overfill a range
 is spread over several ranges by the second half of the place. Records of one key stay in
-one shard unless the key is larger than a range.
+one shard unless the key is larger than a range or a fiftieth of a shard.
 
 Null group hashes and sizes count as zero. Rows that repeat are counted once with their number
 and spread again at the end, so no number of copies overfills a task.
@@ -47,7 +47,12 @@ def weighted_splitters(rows: DataFrame, ranges: int, per_range: int, total: int)
         return np.zeros(0, np.int64)
     reached = drawn["weight"].cumsum().to_numpy()
     wanted = np.arange(1, ranges) * reached[-1] / ranges
-    return np.unique(drawn["place"].to_numpy()[np.searchsorted(reached, wanted)])
+    splitters = np.unique(drawn["place"].to_numpy()[np.searchsorted(reached, wanted)])
+    # A boundary inside a key moves in front of it; a key that holds several boundaries
+    # overfills a range and keeps the others.
+    keys = splitters >> 32
+    first = np.append(True, keys[1:] != keys[:-1]) if len(keys) else np.zeros(0, bool)
+    return np.where(first, (keys << 32) - 1, splitters)
 
 
 def shard_by_bytes(
@@ -56,8 +61,8 @@ def shard_by_bytes(
     key_hash: str,
     size: str,
     shards: int,
-    ranges_per_shard: int = 64,
-    samples_per_range: int = 16,
+    ranges_per_shard: int = 32,
+    samples_per_range: int = 32,
 ) -> DataFrame:
     """``rows`` with ``shard`` and a gapless ``slot`` in it.
 
@@ -120,7 +125,7 @@ def shard_by_bytes(
     )
     share = total / shards if total else 1.0
     point = F.when(
-        F.col("group_bytes") <= F.lit(share / 200), F.col("group_before") + F.col("group_bytes") / 2
+        F.col("group_bytes") <= F.lit(share / 50), F.col("group_before") + F.col("group_bytes") / 2
     ).otherwise(F.col("before") + (F.col("copy") + 0.5) * F.col("size"))
     dealt = placed.withColumn(
         "copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))
