@@ -6,10 +6,11 @@
    ``bands`` bands of ``width`` hashes a pair of similarity ``s`` shares none with
    probability ``(1 - s**width)**bands``: 5e-6 at 0.75 for the defaults.
 3. A bucket first proposes pairs of its members with one of them (its leader). Verified
-   links are joined to components, and further leaders are tried only against members
-   that are still in other components. Pairs that are left after these rounds, members of
-   one bucket in different components, are all proposed. So a group of copies costs a few
-   pairs per member, and no pair is left out by a limit.
+   links are joined to components, and a second leader is tried only against members that
+   are still in other components. Members of one bucket that are in different components
+   after that are all compared, block by block inside tasks, on one byte of each hash; only
+   pairs that may reach the threshold become rows. So a group of copies costs a few pairs
+   per member, documents that share a passage cost no rows, and no pair is left out.
 4. A proposed pair's signatures are compared in batches. After ``n`` hashes with ``m``
    matches the posterior of the similarity under a flat prior is a beta distribution, and
    the pair is dropped when the chance of reaching the threshold is below ``miss``.
@@ -35,6 +36,8 @@ from tallymill.llm.registry import query, table
 from tallymill.session import stored
 
 _KEEP_WORDS = 200_000
+# Members of a bucket that are compared in one piece; larger buckets are cut into blocks.
+_BLOCK = 1024
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -158,6 +161,17 @@ def _sets(docs: DataFrame, words: int, size: int) -> DataFrame:
     return docs.mapInPandas(run, "doc_id long, n_shingles long, digest binary, signature binary")
 
 
+def _sketched(nodes: DataFrame) -> DataFrame:
+    """(node, sketch): the low byte of every hash of the signature."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            cut = [np.frombuffer(s, np.uint8)[::4].tobytes() for s in batch["signature"]]
+            yield pd.DataFrame({"node": batch["node"], "sketch": cut})
+
+    return nodes.mapInPandas(run, "node long, sketch binary")
+
+
 def _shingles(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(words)
@@ -191,6 +205,69 @@ def _likely(pairs: DataFrame, plan: list[tuple[int, int]]) -> DataFrame:
     return pairs.mapInPandas(run, "a long, b long")
 
 
+def _across(members: DataFrame, plan: list[tuple[int, int]]) -> DataFrame:
+    """Pairs (a, b) of each bucket, in different components, that may reach the threshold.
+
+    ``members`` has bucket, node, component and sketch (the low byte of every hash). A
+    byte agrees at least as often as its hash, so the bounds of ``plan`` lose nothing.
+    Buckets of more than a block are cut by hash, and every two blocks meet in a task.
+    """
+    sizes = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    laid = (
+        members.join(sizes, "bucket")
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "bucket",
+            F.least("own", "other").alias("low"),
+            F.greatest("own", "other").alias("high"),
+            "own",
+            "node",
+            "component",
+            "sketch",
+        )
+    )
+    key = ["bucket", "low", "high"]
+    steps = [plan[0], plan[len(plan) // 2], plan[-1]]
+
+    def pairs_of(group: pd.DataFrame) -> pd.DataFrame:
+        sketch = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(len(group), -1)
+        node, component = group["node"].to_numpy(), group["component"].to_numpy()
+        first, second = group["own"].to_numpy() == group["low"].iloc[0], group["own"].to_numpy() == group["high"].iloc[0]
+        same_block = group["low"].iloc[0] == group["high"].iloc[0]
+        right = np.flatnonzero(second)
+        found = []
+        for i in np.flatnonzero(first):
+            j = right[right > i] if same_block else right
+            j = j[component[j] != component[i]]
+            matches, begin = np.zeros(len(j), int), 0
+            for n, least in steps:
+                matches += (sketch[j, begin:n] == sketch[i, begin:n]).sum(axis=1)
+                keep = matches >= least
+                j, matches, begin = j[keep], matches[keep], n
+                if not len(j):
+                    break
+            found.extend((min(node[i], node[k]), max(node[i], node[k])) for k in j)
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting = None
+        for batch in batches:
+            rows = batch if waiting is None else pd.concat([waiting, batch], ignore_index=True)
+            values = rows[key].to_numpy()
+            starts = np.flatnonzero(np.append(True, (values[1:] != values[:-1]).any(axis=1)))
+            for begin, end in zip(starts[:-1], starts[1:], strict=True):
+                if end - begin > 1:
+                    yield pairs_of(rows.iloc[begin:end])
+            waiting = rows.iloc[starts[-1] :]
+        if waiting is not None and len(waiting) > 1:
+            yield pairs_of(waiting)
+
+    dealt = laid.repartition(*key).sortWithinPartitions(*key)
+    return dealt.mapInPandas(run, "a long, b long").filter("a < b").distinct()
+
+
 def _exact(pairs: DataFrame, percent: int) -> DataFrame:
     """Pairs of which ``100 * intersection >= percent * union`` holds on the full sets."""
 
@@ -220,7 +297,7 @@ def near_duplicates(
     width: int = 5,
     batch: int = 25,
     miss: float = 1e-6,
-    leaders: int = 3,
+    leaders: int = 2,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (its least doc_id)."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -236,7 +313,7 @@ def near_duplicates(
     cut = [
         F.xxhash64(F.lit(i), F.substring(F.col("signature"), 4 * width * i + 1, 4 * width)) for i in range(bands)
     ]
-    banded = nodes.select("node", F.explode(F.array(*cut)).alias("bucket"))
+    banded = nodes.filter("node is not null").select("node", F.explode(F.array(*cut)).alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     members = stored(banded.join(shared.select("bucket"), "bucket").distinct(), "bucket-members")
 
@@ -244,7 +321,10 @@ def near_duplicates(
     wanted = members.select(F.col("node").alias("doc_id")).distinct()
     held = stored(
         _shingles(
-            rows.join(wanted, "doc_id").select(F.col("doc_id").alias("node"), "text"), words
+            rows.join(wanted, "doc_id").dropDuplicates(["doc_id", "text"]).select(
+                F.col("doc_id").alias("node"), "text"
+            ),
+            words,
         ),
         "member-shingles",
     )
@@ -269,34 +349,28 @@ def near_duplicates(
             "component", F.coalesce("component", "node")
         )
 
-    components, links = None, None
-    for turn in range(leaders + 1):
+    def open_buckets(components: DataFrame) -> DataFrame:
+        """The members of the buckets that still hold several components."""
         here = labelled(components)
-        if turn:
-            mixed = here.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            here = stored(
-                here.join(mixed.filter("low < high").select("bucket"), "bucket"), "open-buckets"
-            )
-            if here.isEmpty():
-                break
+        mixed = here.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        return stored(here.join(mixed.filter("low < high").select("bucket"), "bucket"), "open-buckets")
+
+    components = None
+    for turn in range(leaders + 1):
+        here = labelled(components) if components is None else open_buckets(components)
         if turn < leaders:
             order = F.xxhash64("node", F.lit(turn)) if turn else F.col("node")
             first = here.groupBy("bucket").agg(
                 F.min(F.struct(order.alias("o"), "node", "component")).alias("first")
             )
-            pairs = here.join(first, "bucket").select(
-                "node", F.col("first.node").alias("leader"),
-                F.col("component").alias("c"), F.col("first.component").alias("d"),
+            pairs = (
+                here.join(first, "bucket")
+                .filter(F.col("component") != F.col("first.component"))
+                .select(F.least("node", "first.node").alias("a"), F.greatest("node", "first.node").alias("b"))
+                .distinct()
             )
         else:
-            other = here.select("bucket", F.col("node").alias("leader"), F.col("component").alias("d"))
-            pairs = here.withColumnRenamed("component", "c").join(other, "bucket").filter("node < leader")
-        pairs = (
-            pairs.filter("c <> d")
-            .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-            .filter("a < b")
-            .distinct()
-        )
+            pairs = _across(here.join(_sketched(signatures), "node"), plan)
         found = stored(verified(pairs), "near-links")
         if found.isEmpty():
             continue
