@@ -36,8 +36,6 @@ PATTERNS = {
 # What a text must hold for a pattern to be worth trying.
 _SIGNS = {"email": "%@%", "phone": "%+%", "ip": "%.%"}
 _TERM = r"\p{L}{4,}"
-#: Candidate terms that are sent to every task; beyond it they are joined by shuffling.
-_SENT = 500_000
 
 
 def _digits(match: Column) -> Column:
@@ -180,22 +178,19 @@ def disclosing_terms(
     )
     both = pairs.groupBy("entity", "n_e", "term").agg(F.count(F.lit(1)).alias("n_et")).filter(F.col("n_et") >= support)
     both = stored(both, "term-counts")
-    candidates = both.select("term").distinct()
-    few = candidates.count()
     whole = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
     texts = whole.select(F.xxhash64("text").alias("h")).distinct().count()
-    everywhere = whole.select(
-        F.xxhash64("text").alias("text_hash"),
-        F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0)))).alias("term"),
-    )
-    if not few:
-        everywhere = everywhere.limit(0)
+    # Terms are counted before the join, so their occurrences are never matched one by one.
     counts = (
-        everywhere.join(F.broadcast(candidates) if few <= _SENT else candidates, "term")
-        .distinct()
+        whole.dropDuplicates(["text"])
+        .select(
+            F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0)))).alias("term")
+        )
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n_t"))
     )
+    if both.isEmpty():
+        counts = counts.limit(0)
     told = F.log2(F.col("n_et") * F.lit(float(texts)) / (F.col("n_e") * F.col("n_t")))
     share = told / F.log2(F.lit(float(texts)) / F.col("n_e"))
     strong = (
