@@ -105,19 +105,26 @@ def fit_label_model(votes: np.ndarray, against: np.ndarray, rounds: int = 30) ->
     rows, voters = votes.shape
     # It starts from what most voters say: some voter for, and none against.
     belief = np.where((votes[:, ~against].sum(axis=1) > 0) & (votes[:, against].sum(axis=1) == 0), 0.9, 0.05)
-    weight = np.ones(voters)
+
+    def discount(left: np.ndarray, least: float) -> np.ndarray:
+        """One over the number of voters that each voter repeats, itself included."""
+        scale = np.sqrt((left * left).sum(axis=0) + 1e-9)
+        alike = np.abs(left.T @ left) / np.outer(scale, scale)
+        np.fill_diagonal(alike, 0)
+        alike[:, against] = 0
+        # That no voter speaks for toxicity is known from their silence already.
+        return np.where(against, 0.0, 1 / (1 + np.where(alike > least, alike, 0).sum(axis=1)))
+
+    # Before the classes are known only voters that are nearly the same are discounted.
+    weight = discount(votes - votes.mean(axis=0) if rows else votes, 0.7)
     model = LabelModel(0.1, np.full(voters, 0.5), np.full(voters, 0.5), weight)
     for at in range(rounds):
         toxic, clean = belief.sum() + 1e-9, (1 - belief).sum() + 1e-9
         on_toxic = (belief @ votes + 0.1) / (toxic + 0.2)
         on_clean = ((1 - belief) @ votes + 0.1) / (clean + 0.2)
-        if at in (1, rounds // 2):
+        if at in (rounds // 3, 2 * rounds // 3):
             # Correlation within the classes: what is left when the class is known.
-            left = votes - belief[:, None] * on_toxic - (1 - belief)[:, None] * on_clean
-            scale = np.sqrt((left * left).sum(axis=0) + 1e-9)
-            alike = np.clip((left.T @ left) / np.outer(scale, scale), 0, 1)
-            np.fill_diagonal(alike, 0)
-            weight = 1 / (1 + np.where(alike > 0.1, alike, 0).sum(axis=1))
+            weight = discount(votes - belief[:, None] * on_toxic - (1 - belief)[:, None] * on_clean, 0.2)
         model = LabelModel(float(np.clip(toxic / (rows + 1e-9), 0.01, 0.5)), on_toxic, on_clean, weight)
         belief = model.posterior(votes)
     return model
@@ -153,8 +160,10 @@ def find_voters(sample: DataFrame, text: str, most: int = 400, least: int = 4) -
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for content, label in zip(batch["text"], batch["_label"], strict=True):
-                yield pd.DataFrame({"term": list(terms_of(content)), "label": label})
+            for at in range(0, len(batch), 200):
+                part = batch.iloc[at : at + 200]
+                rows = [(t, n) for c, n in zip(part["text"], part["_label"], strict=True) for t in sorted(terms_of(c))]
+                yield pd.DataFrame(rows, columns=["term", "label"])
 
     counts = (
         sample.select(F.col(text).alias("text"), "_label")
