@@ -89,9 +89,9 @@ class LabelModel:
     weight: np.ndarray
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
+        """A voter that stays silent abstains, which says nothing about the class."""
         fired = np.log(self.on_toxic / self.on_clean) * self.weight
-        silent = np.log((1 - self.on_toxic) / (1 - self.on_clean)) * self.weight
-        return sigmoid(np.log(self.share / (1 - self.share)) + votes @ fired + (1 - votes) @ silent)
+        return sigmoid(np.log(self.share / (1 - self.share)) + votes @ fired)
 
     def accuracy(self) -> np.ndarray:
         """The chance that a voter that fires is right to call a text toxic."""
@@ -112,8 +112,7 @@ def fit_label_model(votes: np.ndarray, against: np.ndarray, rounds: int = 30) ->
         alike = np.abs(left.T @ left) / np.outer(scale, scale)
         np.fill_diagonal(alike, 0)
         alike[:, against] = 0
-        # That no voter speaks for toxicity is known from their silence already.
-        return np.where(against, 0.0, 1 / (1 + np.where(alike > least, alike, 0).sum(axis=1)))
+        return np.where(against, 1.0, 1 / (1 + np.where(alike > least, alike, 0).sum(axis=1)))
 
     # Before the classes are known only voters that are nearly the same are discounted.
     weight = discount(votes - votes.mean(axis=0) if rows else votes, 0.7)
