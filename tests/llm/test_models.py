@@ -118,6 +118,24 @@ def test_backoff_of_words(spark):
     assert {r["lang_pred"] for r in rows(identify(odd_docs(spark), nothing))} == {"und"}
 
 
+def test_backoff_keeps_every_word_and_gram(spark):
+    """Rare words, rare languages and long runs count, however few words travel to the tasks."""
+    run = "".join(chr(0x3041 + i % 80) for i in range(2500))
+    data = [(i, "alpha beta gamma delta epsilon " * 50, "en") for i in range(20)]
+    data += [(100, "alpha qo", "zz"), (101, "alpha beta " + "k" * 45, "de"), (102, run, "ja")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    asked = spark.createDataFrame(
+        [(1, "qo"), (2, "qoqo"), (3, "k" * 45), (4, run), (5, run[1200:1260]), (6, "gamma"), (7, "1 ½"), (7, "qo qo qo")],
+        "doc_id long, text string",
+    )
+    few, many = fit_backoff(docs, words=2), fit_backoff(docs)
+    assert len(few.common) == 2
+    got, whole = (sorted((r["doc_id"], r["lang_pred"], r["score"]) for r in rows(identify(asked, m))) for m in (few, many))
+    assert [r[:2] for r in got] == [
+        (1, "zz"), (2, "zz"), (3, "de"), (4, "ja"), (5, "ja"), (6, "en"), (7, "und"), (7, "zz")]
+    assert [r[2] for r in got] == pytest.approx([r[2] for r in whole])
+
+
 def brute_nearest(vectors, queries, k):
     ids = np.array(sorted(vectors))
     table = np.array([vectors[i] for i in ids], np.float64)
