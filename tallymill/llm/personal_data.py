@@ -2,14 +2,15 @@
 
 Base spans are e-mail addresses, IP addresses, payment cards and telephone numbers. The
 distinct values that they match are the protected entities. The corpus tells how strongly
-a term reveals an entity: with ``N`` distinct texts, ``n(e)`` that hold the entity, ``n(t)``
-that hold the term anywhere and ``n(e, t)`` that hold the term near the entity, the
-pointwise mutual information ``log2(n(e, t) N / (n(e) n(t)))`` is what the term tells about
-the entity, and ``log2(N / n(e))`` is all there is to tell. Where the first reaches the
-share ``generalise`` of the second the term is generalised to its first two letters, and
-where it reaches ``remove`` it is removed, in the texts that hold the entity near it.
-Counts are over all documents; copies of a text count once, and fewer than ``support``
-texts with both prove nothing.
+a term, a run of letters of any length, reveals an entity: with ``N`` distinct texts,
+``n(e)`` that hold the entity, ``n(t)`` that hold the term and ``n(e, t)`` that hold both,
+anywhere, the pointwise mutual information ``log2(n(e, t) N / (n(e) n(t)))`` is what the
+term tells about the entity, and ``log2(N / n(e))`` is all there is to tell. Where the first
+reaches the share ``generalise`` of the second the term is generalised to its first two
+letters, and where it reaches ``remove``, or has fewer than four letters, it is removed,
+throughout the texts that hold the entity. Counts are over all documents; copies of a text
+count once. There is no fixed floor: a pair counts where chance would bring so many texts
+together, for any of the corpus's terms, with a probability of ``doubt`` at most.
 
 Only DataFrame functions are used. Offsets are code points, ends are exclusive; null texts
 count as empty, and rows that repeat are treated alike.
@@ -17,6 +18,8 @@ count as empty, and rows that repeat are treated alike.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +38,9 @@ PATTERNS = {
 }
 # What a text must hold for a pattern to be worth trying.
 _SIGNS = {"email": "%@%", "phone": "%+%", "ip": "%.%"}
-_TERM = r"\p{L}{4,}"
+_TERM = r"\p{L}+"
+#: The first two letters of a shorter term tell too much of it.
+_SHORT = 4
 
 
 def _digits(match: Column) -> Column:
@@ -121,84 +126,78 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def disclosing_terms(
-    docs: DataFrame, text: str, window: int, support: int, generalise: float, remove: float
-) -> DataFrame:
-    """(text_hash, terms): the disclosing terms of each text, with how to treat them.
+def _evidence(both: Column, one: Column, other: Column, texts: int) -> Column:
+    """Minus the log of a bound on the chance that ``one`` texts hold ``both`` of ``other`` or more.
 
-    A term is a word of four letters or more within ``window`` characters of the entity.
+    Chernoff's bound, which holds for draws without replacement as well.
     """
-    rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).filter(F.col("text").rlike("[0-9@]"))
-    spans = rows.withColumn("spans", base_spans(F.col("text"))).filter(F.size("spans") > 0)
-    beside = spans.select("text", F.explode("spans").alias("s")).select(
-        F.xxhash64("text").alias("text_hash"),
-        F.lower(F.substring("text", F.col("s.start") + 1, F.col("s.end") - F.col("s.start"))).alias("value"),
-        F.concat(
-            # A word that the window cuts is left out.
-            F.regexp_replace(
-                F.substring(
-                    F.col("text"),
-                    F.greatest(F.lit(1), F.col("s.start") + 1 - window),
-                    F.least(F.lit(window), F.col("s.start")),
-                ),
-                F.when(F.col("s.start") > window, r"^\p{L}+").otherwise("^$"),
-                "",
-            ),
-            F.lit(" "),
-            F.regexp_replace(
-                F.substring(F.col("text"), F.col("s.end") + 1, F.lit(window)),
-                F.when(F.length("text") - F.col("s.end") > window, r"\p{L}+$").otherwise("^$"),
-                "",
-            ),
-        ).alias("near"),
-        F.col("s.kind").alias("kind"),
-    )
-    entity = F.concat_ws(" ", "kind", F.when(F.col("kind").isin("card", "phone"), _digits(F.col("value"))).otherwise(F.col("value")))
-    plain = F.col("near")
+    share, expected = both / one, other / F.lit(float(texts))
+    rest = F.when(both < one, (one - both) * F.log((1 - share) / (1 - expected))).otherwise(0.0)
+    return both * F.log(share / expected) + rest
+
+
+def disclosing_terms(docs: DataFrame, text: str, generalise: float, remove: float, doubt: float) -> DataFrame:
+    """(text_hash, removed, generalised): the disclosing terms of each text, with how to treat them."""
+    whole = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
+
+    def terms_of(content: Column) -> Column:
+        return F.array_distinct(F.regexp_extract_all(F.lower(content), F.lit(_TERM), F.lit(0)))
+
+    texts = whole.select(F.xxhash64("text").alias("h")).distinct().count()
+    some = whole.filter(F.col("text").rlike("[0-9@]")).filter(F.size(base_spans(F.col("text"))) > 0)
+    plain = F.col("text")
     for kind in KINDS:
         plain = F.regexp_replace(plain, PATTERNS[kind], " ")
+    start, end = F.col("s.start"), F.col("s.end")
+    value = F.lower(F.substring("text", start + 1, end - start))
+    entity = F.concat_ws(" ", "s.kind", F.when(F.col("s.kind").isin("card", "phone"), _digits(value)).otherwise(value))
     held = stored(
-        beside.select(
-            "text_hash",
-            F.xxhash64(entity).alias("entity"),
-            F.array_distinct(F.regexp_extract_all(F.lower(plain), F.lit(_TERM), F.lit(0))).alias("terms"),
-        ),
+        some.dropDuplicates(["text"]).select(
+            "text", F.xxhash64("text").alias("text_hash"), terms_of(plain).alias("terms"), base_spans(F.col("text")).alias("spans")
+        ).select("text", "text_hash", "terms", F.posexplode("spans").alias("at", "s"))
+        # The terms go with a text's first span only.
+        .select("text_hash", F.xxhash64(entity).alias("entity"), F.when(F.col("at") == 0, F.col("terms")).alias("terms")),
         "entities",
     )
-    entities = (
-        held.groupBy("entity")
-        .agg(F.countDistinct("text_hash").alias("n_e"))
-        .filter(F.col("n_e") >= support)
-    )
-    pairs = stored(
-        held.join(entities, "entity")
-        .select("entity", "n_e", "text_hash", F.explode("terms").alias("term"))
-        .distinct(),
-        "entity-terms",
-    )
-    both = pairs.groupBy("entity", "n_e", "term").agg(F.count(F.lit(1)).alias("n_et")).filter(F.col("n_et") >= support)
-    both = stored(both, "term-counts")
-    whole = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
-    texts = whole.select(F.xxhash64("text").alias("h")).distinct().count()
     # Terms are counted before the join, so their occurrences are never matched one by one.
-    counts = (
+    counts = stored(
         whole.dropDuplicates(["text"])
-        .select(
-            F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0)))).alias("term")
-        )
+        .select(F.explode(terms_of(F.col("text"))).alias("term"))
         .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("n_t"))
+        .agg(F.count(F.lit(1)).alias("n_t")),
+        "term-counts",
+    )
+    need = math.log(max(1, counts.count()) / doubt)
+    # A single text is evidence of log N at most, so nothing that would pass is left out here.
+    least = 1 if math.log(max(1, texts)) >= need else 2
+    entities = held.groupBy("entity").agg(F.countDistinct("text_hash").alias("n_e")).filter(F.col("n_e") >= least)
+    entities = entities.filter(F.col("n_e") < texts)
+    named = stored(held.select("text_hash", "entity").distinct().join(entities, "entity"), "named-texts")
+    largest = named.agg(F.max("n_e")).first()[0] or 0
+
+    def most(n_e):
+        """n(e, t) is n(e) at most, so a term in more texts than this tells too little."""
+        return (n_e / float(max(1, texts))) ** generalise * texts * (1 + 1e-9)
+
+    rare = counts.filter((F.col("n_t") >= least) & (F.col("n_t") <= most(largest)))
+    wanted = (
+        held.filter("terms is not null")
+        .join(named.select("text_hash").distinct(), "text_hash", "left_semi")
+        .select("text_hash", F.explode("terms").alias("term"))
+        .join(rare, "term")
+    )
+    pairs = stored(
+        named.join(wanted, "text_hash").filter(F.col("n_t") <= most(F.col("n_e"))), "entity-terms"
     )
-    if both.isEmpty():
-        counts = counts.limit(0)
+    both = pairs.groupBy("entity", "term", "n_e", "n_t").agg(F.count(F.lit(1)).alias("n_et"))
     told = F.log2(F.col("n_et") * F.lit(float(texts)) / (F.col("n_e") * F.col("n_t")))
     share = told / F.log2(F.lit(float(texts)) / F.col("n_e"))
+    n_e, n_t, n_et = F.col("n_e"), F.col("n_t"), F.col("n_et")
+    evidence = F.greatest(_evidence(n_et, n_e, n_t, texts), _evidence(n_et, n_t, n_e, texts))
     strong = (
-        both.join(counts, "term")
-        .filter(F.col("n_e") < texts)
-        .withColumn("share", share)
-        .filter(F.col("share") >= generalise)
-        .select("entity", "term", (F.col("share") >= remove).alias("removed"))
+        both.withColumn("share", share)
+        .filter((F.col("share") >= generalise) & (evidence >= need))
+        .select("entity", "term", ((F.col("share") >= remove) | (F.length("term") < _SHORT)).alias("removed"))
     )
     per_text = (
         pairs.join(strong, ["entity", "term"])
@@ -216,10 +215,9 @@ def disclosing_terms(
 def sanitise(
     docs: DataFrame,
     text: str = "text",
-    window: int = 80,
-    support: int = 3,
     generalise: float = 0.5,
     remove: float = 0.8,
+    doubt: float = 0.05,
     names: tuple[str, str, str] = ("base", "spans", "sanitised"),
 ) -> DataFrame:
     """``docs`` with base spans, all spans (arrays of start, number, end, kind) and clean text.
@@ -228,7 +226,7 @@ def sanitise(
     base span. Base spans that overlap are replaced once, by the kind that begins first.
     The three columns are called ``names`` and replace columns of these names.
     """
-    terms = disclosing_terms(docs, text, window, support, generalise, remove).withColumnRenamed("text_hash", "_hash")
+    terms = disclosing_terms(docs, text, generalise, remove, doubt).withColumnRenamed("text_hash", "_hash")
     kept = [c for c in docs.columns if c not in names]
     # The input travels as one struct, so its column names cannot clash with those below.
     rows = docs.select(

@@ -86,3 +86,15 @@ def test_terms_that_disclose_an_entity(spark):
     assert all(got[i]["sanitised"] == t for i, t in [*half, *rest])
     # Copies of one text are one witness.
     assert {s["kind"] for s in got[400]["spans"]} == {"email"}
+
+
+def test_terms_far_away_short_or_of_two_texts(spark):
+    """A term counts wherever its text holds the entity, whatever its length, from two texts on."""
+    far = [(100 + i, f"zyzzyva li {prose(i, 60)} {prose(i + 20, 60)} far.off@a.example.com") for i in range(3)]
+    two = [(200 + i, f"quuxish {prose(i + 40, 60)} only.two@b.example.com") for i in range(2)]
+    rest = [(300 + i, prose(i + 100, 60)) for i in range(300)]
+    got = {r["doc_id"]: r for r in sanitise(odd_docs(spark, [*far, *two, *rest])).collect() if r["doc_id"]}
+    for i, text in [*far, *two]:
+        found = {text[s["start"] : s["end"]] for s in got[i]["spans"] if s["kind"] == "term"}
+        assert found == ({"zyzzyva", "li"} if i < 200 else {"quuxish"})
+    assert all(got[i]["sanitised"] == t for i, t in rest)
