@@ -1,6 +1,18 @@
 """Imports every module that registers corpus queries."""
 
-from tallymill.llm import decontamination, language, near_duplicates, nearest, packing, personal_data, quality, sharding, token_counts, toxicity  # noqa: F401
+from tallymill.llm import (  # noqa: F401
+    decontamination,
+    language,
+    near_duplicates,
+    nearest,
+    packing,
+    personal_data,
+    quality,
+    sharding,
+    token_counts,
+    toxicity,
+    vector_codes,
+)
 from tallymill.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
