@@ -3,6 +3,7 @@
 from tallymill.llm import (  # noqa: F401
     decontamination,
     language,
+    max_sketches,
     near_duplicates,
     nearest,
     packing,
