@@ -9,6 +9,7 @@ from tallymill.llm import (  # noqa: F401
     packing,
     personal_data,
     quality,
+    set_join,
     sharding,
     token_counts,
     toxicity,
