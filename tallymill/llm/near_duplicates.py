@@ -36,7 +36,6 @@ from tallymill.llm.components import connect
 from tallymill.llm.registry import query, table
 from tallymill.session import stored
 
-_KEEP_WORDS = 200_000
 # Members of a bucket that are compared in one piece; larger buckets are cut into blocks.
 _BLOCK = 1024
 
@@ -52,29 +51,41 @@ class Shingler:
     """Sorted distinct 64-bit shingle hashes of texts."""
 
     def __init__(self, words: int):
-        import xxhash
-
-        self.words, self._hash, self._known = words, xxhash.xxh64_intdigest, {}
+        self.words = words
         random = np.random.default_rng(5)
         self._factors = random.integers(1, 2**63, words, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        # A to Z count as a to z; bytes of white space are in no word.
+        byte = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+        self._of_byte = random.integers(1, 2**63, 256, dtype=np.uint64)[byte]
+        self._inside = np.array([not bytes([i]).isspace() for i in range(256)])
+        self._base = random.integers(1, 2**63, 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self._powers = np.ones(1, np.uint64)
+
+    def word_hashes(self, text: str | None) -> np.ndarray:
+        """One hash per word: a polynomial of its bytes, scrambled."""
+        raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+        inside = self._inside[raw]
+        edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+        if not len(edges):
+            return np.zeros(0, np.uint64)
+        lengths = edges[1::2] - edges[::2]
+        starts = np.cumsum(lengths) - lengths
+        if lengths.max() > len(self._powers):
+            self._powers = np.cumprod(np.append(np.uint64(1), np.repeat(self._base, int(lengths.max()))))
+        values = self._of_byte[raw[inside]] * self._powers[np.arange(lengths.sum()) - np.repeat(starts, lengths)]
+        return _mixed(np.add.reduceat(values, starts))
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        if not words:
-            return np.zeros(0, np.uint64)
-        if len(words) < self.words:
-            return np.array([self._hash(b" ".join(words), seed=len(words))], np.uint64)
-        known = self._known
-        if len(known) > _KEEP_WORDS:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = self._hash(w)
-        hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        count = len(words) - self.words + 1
-        total = np.zeros(count, np.uint64)
-        for i in range(self.words):
-            total = _mixed(total + hashes[i : i + count] * self._factors[i])
-        return np.unique(total)
+        hashes = self.word_hashes(text)
+        size = min(len(hashes), self.words)
+        if not size:
+            return hashes
+        count = len(hashes) - size + 1
+        total = np.full(count, size, np.uint64)
+        for i in range(size):
+            total += hashes[i : i + count] * self._factors[i]
+        found = np.sort(_mixed(total))
+        return found[np.append(True, found[1:] != found[:-1])]
 
 
 class Signer:

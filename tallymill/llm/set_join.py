@@ -101,7 +101,8 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
                     classes = counts.astype(np.uint8).tobytes() if counts.max() < 256 else None
                     out.append((doc, spot, len(found), node_of(found), classes))
                 frame = pd.DataFrame(out, columns=["doc", "spot", "n", "node", "classes"])
-                yield frame.astype({"node": "Int64"})
+                # With a null among them, whole numbers would become floating point first.
+                yield frame.assign(node=pd.array([row[3] for row in out], dtype="Int64"))
 
     return rows.mapInPandas(run, "doc string, spot long, n long, node long, classes binary")
 
@@ -406,7 +407,8 @@ def _sql(percent: int) -> str:
     return rf"""
 WITH RECURSIVE words AS (
     SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
-        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w
     FROM documents),
 shingles AS (
     SELECT DISTINCT r, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
