@@ -127,11 +127,13 @@ def link_clusters(
 ) -> DataFrame:
     """Links (a, b) that join the nodes of each cluster into their components.
 
-    ``members`` has cluster, node and payload, one row per node. Inside tasks ``decode()``
+    ``members`` has cluster, node and payload, one row per node, and may have ``part``:
+    nodes of the same part are already joined. Inside tasks ``decode()``
     gives a function from a payload to its sorted set, and ``prepare()``, if any, one from
     the sets of a task to the ``likely`` of :func:`links`.
     """
-    members = stored(members.select("cluster", "node", "payload"), f"{name}-members")
+    part = "part" if "part" in members.columns else "node"
+    members = stored(members.select("cluster", "node", "payload", F.col(part).alias("part")), f"{name}-members")
     ranked = [F.min(F.struct(F.xxhash64("node", F.lit(s)).alias("h"), "node"))["node"] for s in range(_LEADERS)]
     plan = stored(
         members.groupBy("cluster")
@@ -150,15 +152,18 @@ def link_clusters(
     block = F.explode(F.when(large & everywhere, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own)))
     # Clusters of one block share tasks; negative numbers keep them apart from the others.
     bin_ = F.when(large, F.xxhash64("cluster")).otherwise(-1 - F.pmod(F.xxhash64("cluster"), F.lit(bins)))
-    laid = members.join(plan, "cluster").select("cluster", "node", "payload", bin_.alias("bin"), block.alias("block"))
+    laid = members.join(plan, "cluster").select(
+        "cluster", "node", "payload", "part", bin_.alias("bin"), block.alias("block")
+    )
 
     def first(group: pd.DataFrame) -> pd.DataFrame:
-        read, found = decode(), []
+        read, look, found = decode(), prepare() if prepare else None, []
         for _, part in group.groupby("cluster", sort=False):
-            if len(part) > 1:
+            if part["part"].nunique() > 1:
                 node, sets = part["node"].to_numpy(), [read(p) for p in part["payload"]]
-                likely = prepare()(sets) if prepare else None
-                found += [(node[i], node[j]) for i, j in links(sets, percent, likely=likely)]
+                parts = np.unique(part["part"].to_numpy(), return_inverse=True)[1]
+                likely = look(sets) if look else None
+                found += [(node[i], node[j]) for i, j in links(sets, percent, parts, likely=likely)]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     inner = stored(laid.groupBy("bin", "block").applyInPandas(first, "a long, b long"), f"{name}-links")
@@ -167,7 +172,8 @@ def link_clusters(
 
     # Second step, for cut clusters: what is outside the largest part meets every block.
     wide = members.join(plan.filter(large), "cluster").withColumn("own", own)
-    joined = connect(inner, f"{name}-parts")
+    known = wide.select(F.col("node").alias("a"), F.col("part").alias("b"))
+    joined = connect(inner.unionByName(known), f"{name}-parts")
     wide = stored(
         wide.join(joined, "node", "left").select(
             "cluster", "node", "payload", "own", F.coalesce("component", "node").alias("part")

@@ -18,7 +18,10 @@
 
 Texts are split at ASCII white space after lowering A to Z. A text with fewer words than
 a shingle has its whole sequence as its only one. A text without words, or null, has an
-empty set and is linked with nothing. Rows that share a ``doc_id`` are one document.
+empty set and is linked with nothing. Very long texts are read whole. Rows that repeat in id
+and text have the same result each; rows that share an id but not the text are linked only if
+their sets are. Null ids take part, and are the smallest only of a group without other ids.
+An empty table has no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,16 +32,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymill.llm.clusters import link_clusters
 from tallymill.llm.components import connect
 from tallymill.llm.registry import query, table
 from tallymill.session import stored
 
-# Members of a bucket that are compared in one piece; larger buckets are cut into blocks.
-_BLOCK = 1024
-
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit numbers (xor-shifts and odd products)."""
@@ -120,30 +121,38 @@ def least_matches(hashes: int, batch: int, threshold: float, miss: float) -> lis
     return out
 
 
-def _sets(docs: DataFrame, words: int, size: int) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingler, signer = Shingler(words), Signer(size)
-        for batch in batches:
-            for at in range(0, len(batch), 1000):
-                part, rows = batch.iloc[at : at + 1000], []
-                for doc, text in zip(part["doc_id"].tolist(), part["text"], strict=True):
-                    found = shingler(text)
-                    digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None
-                    rows.append((doc, len(found), digest, signer(found).tobytes() if len(found) else None))
-                yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "digest", "signature"])
+def row_name(doc: Column, text: Column) -> list[Column]:
+    """``doc`` and ``spot``, which tell rows apart: the id as text, empty for null, and the text's hash."""
+    return [F.coalesce(doc.cast("long").cast("string"), F.lit("")).alias("doc"), F.xxhash64(text).alias("spot")]
+
+
+def number_of(doc: str) -> Column:
+    """The id of a row name."""
+    return F.when(F.col(doc) != "", F.col(doc).cast("long"))
 
-    return docs.mapInPandas(run, "doc_id long, n_shingles long, digest binary, signature binary")
 
+def node_of(found: np.ndarray) -> int | None:
+    """A 64-bit hash of a set; none for an empty one."""
+    if not len(found):
+        return None
+    return int.from_bytes(hashlib.blake2b(found.tobytes(), digest_size=8).digest(), "big", signed=True)
 
-def _sketched(nodes: DataFrame) -> DataFrame:
-    """(node, sketch): the low byte of every hash of the signature."""
 
+def _sets(rows: DataFrame, words: int, size: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shingler, signer = Shingler(words), Signer(size)
         for batch in batches:
-            cut = [np.frombuffer(s, np.uint8)[::4].tobytes() for s in batch["signature"]]
-            yield pd.DataFrame({"node": batch["node"], "sketch": cut})
+            for at in range(0, len(batch), 1000):
+                part, out = batch.iloc[at : at + 1000], []
+                for doc, spot, text in zip(part["doc"], part["spot"], part["text"], strict=True):
+                    found = shingler(text)
+                    signature = signer(found).tobytes() if len(found) else None
+                    out.append((doc, spot, len(found), node_of(found), signature))
+                frame = pd.DataFrame(out, columns=["doc", "spot", "n_shingles", "node", "signature"])
+                # With a null among them, whole numbers would become floating point first.
+                yield frame.assign(node=pd.array([row[3] for row in out], dtype="Int64"))
 
-    return nodes.mapInPandas(run, "node long, sketch binary")
+    return rows.mapInPandas(run, "doc string, spot long, n_shingles long, node long, signature binary")
 
 
 def _shingles(docs: DataFrame, words: int) -> DataFrame:
@@ -159,89 +168,31 @@ def _shingles(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInPandas(run, "node long, shingles binary")
 
 
+def survivors(left: np.ndarray, right: np.ndarray, plan: list[tuple[int, int]]) -> np.ndarray:
+    """Rows whose signatures, compared batch by batch, leave a chance of reaching the threshold."""
+    alive, matches, begin = np.arange(len(right)), np.zeros(len(right), int), 0
+    for n, least in plan:
+        mine = left[begin:n] if left.ndim == 1 else left[alive, begin:n]
+        matches[alive] += (mine == right[alive, begin:n]).sum(axis=1)
+        alive, begin = alive[matches[alive] >= least], n
+    return alive
+
+
 def _likely(pairs: DataFrame, plan: list[tuple[int, int]]) -> DataFrame:
-    """Pairs whose signatures leave a chance of reaching the threshold, batch by batch."""
+    """Pairs whose signatures leave a chance of reaching the threshold."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             kept = []
             for at in range(0, len(batch), 2000):
                 part = batch.iloc[at : at + 2000]
-                left = np.frombuffer(b"".join(part["signature_a"]), "<u4").reshape(len(part), -1)
-                right = np.frombuffer(b"".join(part["signature_b"]), "<u4").reshape(len(part), -1)
-                alive, matches, begin = np.arange(len(part)), np.zeros(len(part), int), 0
-                for n, least in plan:
-                    matches[alive] += (left[alive, begin:n] == right[alive, begin:n]).sum(axis=1)
-                    alive, begin = alive[matches[alive] >= least], n
-                kept.append(part.iloc[alive][["a", "b"]])
+                sides = (np.frombuffer(b"".join(part[c]), "<u4").reshape(len(part), -1) for c in ("signature_a", "signature_b"))
+                kept.append(part.iloc[survivors(*sides, plan)][["a", "b"]])
             yield pd.concat(kept) if kept else batch[["a", "b"]]
 
     return pairs.mapInPandas(run, "a long, b long")
 
 
-def _across(members: DataFrame, plan: list[tuple[int, int]]) -> DataFrame:
-    """Pairs (a, b) of each bucket, in different components, that may reach the threshold.
-
-    ``members`` has bucket, node, component and sketch (the low byte of every hash). A
-    byte agrees at least as often as its hash, so the bounds of ``plan`` lose nothing.
-    Buckets of more than a block are cut by hash, and every two blocks meet in a task.
-    """
-    sizes = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    laid = (
-        members.join(sizes, "bucket")
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "bucket",
-            F.least("own", "other").alias("low"),
-            F.greatest("own", "other").alias("high"),
-            "own",
-            "node",
-            "component",
-            "sketch",
-        )
-    )
-    key = ["bucket", "low", "high"]
-    steps = [plan[0], plan[len(plan) // 2], plan[-1]]
-
-    def pairs_of(group: pd.DataFrame) -> pd.DataFrame:
-        sketch = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(len(group), -1)
-        node, component = group["node"].to_numpy(), group["component"].to_numpy()
-        first, second = group["own"].to_numpy() == group["low"].iloc[0], group["own"].to_numpy() == group["high"].iloc[0]
-        same_block = group["low"].iloc[0] == group["high"].iloc[0]
-        right = np.flatnonzero(second)
-        found = []
-        for i in np.flatnonzero(first):
-            j = right[right > i] if same_block else right
-            j = j[component[j] != component[i]]
-            matches, begin = np.zeros(len(j), int), 0
-            for n, least in steps:
-                matches += (sketch[j, begin:n] == sketch[i, begin:n]).sum(axis=1)
-                keep = matches >= least
-                j, matches, begin = j[keep], matches[keep], n
-                if not len(j):
-                    break
-            found.extend((min(node[i], node[k]), max(node[i], node[k])) for k in j)
-        return pd.DataFrame(found, columns=["a", "b"])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        waiting = None
-        for batch in batches:
-            rows = batch if waiting is None else pd.concat([waiting, batch], ignore_index=True)
-            values = rows[key].to_numpy()
-            starts = np.flatnonzero(np.append(True, (values[1:] != values[:-1]).any(axis=1)))
-            for begin, end in zip(starts[:-1], starts[1:], strict=True):
-                if end - begin > 1:
-                    yield pairs_of(rows.iloc[begin:end])
-            waiting = rows.iloc[starts[-1] :]
-        if waiting is not None and len(waiting) > 1:
-            yield pairs_of(waiting)
-
-    dealt = laid.repartition(*key).sortWithinPartitions(*key)
-    return dealt.mapInPandas(run, "a long, b long").filter("a < b").distinct()
-
-
 def _exact(pairs: DataFrame, percent: int) -> DataFrame:
     """Pairs of which ``100 * intersection >= percent * union`` holds on the full sets."""
 
@@ -273,13 +224,18 @@ def near_duplicates(
     miss: float = 1e-6,
     leaders: int = 2,
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id (its least doc_id)."""
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    """One row per row of ``docs``: doc_id, n_shingles, component_id (its least doc_id).
+
+    ``doc`` and ``spot`` (:func:`row_name`) tell which row it is, and ``keep`` whether it is
+    the one of its component with the least id, then the least hash of its text.
+    """
+    rows = docs.select(*row_name(F.col(key), F.col(text)), F.col(text).alias("text"))
     sets = stored(_sets(rows, words, bands * width), "shingle-sets")
+    named = F.struct((F.col("doc") == "").alias("unnamed"), number_of("doc").alias("id"), "spot")
     nodes = stored(
-        sets.filter("digest is not null")
-        .groupBy("digest")
-        .agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature")),
+        sets.filter("node is not null")
+        .groupBy("node")
+        .agg(F.min(named).alias("first"), F.first("signature").alias("signature")),
         "shingle-nodes",
     )
 
@@ -287,19 +243,19 @@ def near_duplicates(
     cut = [
         F.xxhash64(F.lit(i), F.substring(F.col("signature"), 4 * width * i + 1, 4 * width)) for i in range(bands)
     ]
-    banded = nodes.filter("node is not null").select("node", F.explode(F.array(*cut)).alias("bucket"))
+    banded = nodes.select("node", F.explode(F.array(*cut)).alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     members = stored(banded.join(shared.select("bucket"), "bucket").distinct(), "bucket-members")
 
     # The texts of nodes that share a bucket, brought together once.
-    wanted = members.select(F.col("node").alias("doc_id")).distinct()
+    wanted = (
+        members.select("node")
+        .distinct()
+        .join(nodes.select("node", "first.id", "first.spot"), "node")
+        .select("node", F.coalesce(F.col("id").cast("string"), F.lit("")).alias("doc"), "spot")
+    )
     held = stored(
-        _shingles(
-            rows.join(wanted, "doc_id").dropDuplicates(["doc_id", "text"]).select(
-                F.col("doc_id").alias("node"), "text"
-            ),
-            words,
-        ),
+        _shingles(rows.join(wanted, ["doc", "spot"]).dropDuplicates(["node"]).select("node", "text"), words),
         "member-shingles",
     )
     signatures = nodes.select("node", "signature")
@@ -323,49 +279,75 @@ def near_duplicates(
             "component", F.coalesce("component", "node")
         )
 
-    def open_buckets(components: DataFrame) -> DataFrame:
+    def open_buckets(components: DataFrame | None) -> DataFrame:
         """The members of the buckets that still hold several components."""
         here = labelled(components)
         mixed = here.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         return stored(here.join(mixed.filter("low < high").select("bucket"), "bucket"), "open-buckets")
 
+    def decode():
+        return lambda shingles: np.frombuffer(shingles, np.uint64)
+
+    def prepare():
+        signer = Signer(bands * width)
+
+        def on(sets: list[np.ndarray]):
+            signed = np.stack([signer(s) for s in sets])
+            return lambda i, others: others[survivors(signed[i], signed[others], plan)]
+
+        return on
+
     components = None
-    for turn in range(leaders + 1):
+    for turn in range(leaders):
         here = labelled(components) if components is None else open_buckets(components)
-        if turn < leaders:
-            order = F.xxhash64("node", F.lit(turn)) if turn else F.col("node")
-            first = here.groupBy("bucket").agg(
-                F.min(F.struct(order.alias("o"), "node", "component")).alias("first")
-            )
-            pairs = (
-                here.join(first, "bucket")
-                .filter(F.col("component") != F.col("first.component"))
-                .select(F.least("node", "first.node").alias("a"), F.greatest("node", "first.node").alias("b"))
-                .distinct()
-            )
-        else:
-            pairs = _across(here.join(_sketched(signatures), "node"), plan)
+        order = F.xxhash64("node", F.lit(turn)) if turn else F.col("node")
+        first = here.groupBy("bucket").agg(F.min(F.struct(order.alias("o"), "node", "component")).alias("first"))
+        pairs = (
+            here.join(first, "bucket")
+            .filter(F.col("component") != F.col("first.component"))
+            .select(F.least("node", "first.node").alias("a"), F.greatest("node", "first.node").alias("b"))
+            .distinct()
+        )
         found = stored(verified(pairs), "near-links")
-        if found.isEmpty():
-            continue
         if components is not None:
             found = found.union(components.select(F.col("node").alias("a"), F.col("component").alias("b")))
         components = connect(found, "near-components")
 
-    best = nodes.select("digest", "node")
-    if components is not None:
-        best = best.join(components, "node", "left").select(
-            "digest", F.coalesce("component", "node").alias("component_id")
-        )
-    else:
-        best = best.select("digest", F.col("node").alias("component_id"))
-    return sets.select("doc_id", "n_shingles", "digest").join(best, "digest", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+    # Two members were compared by a leader, whatever the leaders were.
+    here = open_buckets(components)
+    tops = here.groupBy("bucket").agg(F.min("node").alias("top"), F.count(F.lit(1)).alias("n")).filter("n > 2")
+    ties = connect(here.join(tops, "bucket").select(F.col("node").alias("a"), F.col("top").alias("b")), "near-clusters")
+    inside = ties.unionByName(ties.select(F.col("component").alias("node"), "component")).distinct()
+    grouped = (
+        inside.withColumnRenamed("component", "cluster")
+        .join(held, "node")
+        .join(components, "node", "left")
+        .select("cluster", "node", F.col("shingles").alias("payload"), F.coalesce("component", "node").alias("part"))
+    )
+    found = link_clusters(grouped, decode, percent, prepare, "near")
+    components = connect(
+        found.union(components.select(F.col("node").alias("a"), F.col("component").alias("b"))), "near-components"
+    )
+
+    parts = nodes.join(components, "node", "left").select("node", "first", F.coalesce("component", "node").alias("part"))
+    least = parts.groupBy("part").agg(F.min("first").alias("least"))
+    best = stored(parts.join(least, "part").select("node", "least"), "near-best")
+    linked = sets.filter("node is not null").join(best, "node")
+    alone = sets.filter("node is null").withColumn("least", named)
+    return linked.select("doc", "spot", "n_shingles", "least").unionByName(
+        alone.select("doc", "spot", "n_shingles", "least")
+    ).select(
+        number_of("doc").alias("doc_id"),
+        "n_shingles",
+        F.col("least.id").alias("component_id"),
+        "doc",
+        "spot",
+        (F.struct((F.col("doc") == "").alias("unnamed"), number_of("doc").alias("id"), "spot") == F.col("least")).alias("keep"),
     )
 
 
 @query("op7_bayesian_minhash")
 def op7_bayesian_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's component, and whether it is the one to keep."""
-    found = near_duplicates(table(spark, folder, "documents"))
+    found = near_duplicates(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))

@@ -34,17 +34,16 @@ has no rows; other columns are ignored. Elements are 64-bit hashes of shingles,
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymill.llm.clusters import link_clusters
 from tallymill.llm.components import connect
-from tallymill.llm.near_duplicates import Shingler
+from tallymill.llm.near_duplicates import Shingler, node_of, number_of, row_name
 from tallymill.llm.registry import query, table
 from tallymill.llm.sharing import shared
 from tallymill.session import stored
@@ -81,11 +80,6 @@ def _joined(values: pd.Series, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(values), kind)
 
 
-def node_of(found: np.ndarray) -> int | None:
-    """A 64-bit hash of a set; none for an empty one."""
-    return int.from_bytes(hashlib.blake2b(found.tobytes(), digest_size=8).digest(), "big", signed=True) if len(found) else None
-
-
 def _sets(rows: DataFrame, words: int) -> DataFrame:
     """(doc, spot, n, node, classes): the set's size and hash, and its elements per class."""
 
@@ -325,11 +319,6 @@ def _leave_room(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInPandas(run, "a long, b long")
 
 
-def _spot(doc: Column, text: Column) -> list[Column]:
-    """A row's name: its id as text, empty where it is null, and the hash of its text."""
-    return [F.coalesce(doc.cast("string"), F.lit("")).alias("doc"), F.xxhash64(text).alias("spot")]
-
-
 def heavy_light_join(
     docs: DataFrame,
     text: str = "text",
@@ -340,7 +329,7 @@ def heavy_light_join(
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (the least id reachable)."""
     spark = docs.sparkSession
-    rows = docs.select(*_spot(F.col(key).cast("long"), F.col(text)), F.col(text).alias("text"))
+    rows = docs.select(*row_name(F.col(key), F.col(text)), F.col(text).alias("text"))
     sets = stored(_sets(rows, words), "join-sets")
 
     # Sizes are counted up to a bound that no boundary reaches; larger ones count together.
@@ -375,7 +364,7 @@ def heavy_light_join(
             F.first("n").alias("n"),
             F.first("classes").alias("classes"),
             F.min(F.struct("doc", "spot")).alias("first"),
-            F.min(F.expr("if(doc = '', null, cast(doc as long))")).alias("least"),
+            F.min(number_of("doc")).alias("least"),
         ),
         "join-nodes",
     )
@@ -396,9 +385,9 @@ def heavy_light_join(
     named = nodes.join(found, "node", "left").select("node", "least", F.coalesce("component", "node").alias("part"))
     smallest = named.groupBy("part").agg(F.min("least").alias("component_id"))
     named = stored(named.join(smallest, "part").select("node", "component_id"), "join-named")
-    back = F.expr("if(doc = '', null, cast(doc as long))").alias("doc_id")
-    full = sets.filter("node is not null").join(named, "node").select(back, F.col("n").alias("n_shingles"), "component_id")
-    bare = sets.filter("node is null").select(back, F.col("n").alias("n_shingles"), back.alias("component_id"))
+    back, count = number_of("doc"), F.col("n").alias("n_shingles")
+    full = sets.filter("node is not null").join(named, "node").select(back.alias("doc_id"), count, "component_id")
+    bare = sets.filter("node is null").select(back.alias("doc_id"), count, back.alias("component_id"))
     return full.unionByName(bare)
 
 
