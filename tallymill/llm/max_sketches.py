@@ -143,7 +143,8 @@ def _best(docs: DataFrame, get, k: int) -> DataFrame:
                             if len(kept) == k:
                                 least[q] = -kept[-1][0]
         found = [(q, None if null else doc, -score) for q, kept in enumerate(best) for score, null, doc in kept]
-        yield pd.DataFrame(found, columns=["item", "doc", "score"]).astype({"doc": "Int64"})
+        frame = pd.DataFrame(found, columns=["item", "doc", "score"])
+        yield frame.assign(doc=pd.array([doc for _, doc, _ in found], dtype="Int64"))
 
     return docs.mapInPandas(run, "item long, doc long, score long")
 
