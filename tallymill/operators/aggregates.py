@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.functions.scalars import literal_table
+from tallymill.operators.cuts import long_groups, with_blocks
 
 _FNS = {"mean": F.avg, "count": F.count, "sum": F.sum, "min": F.min, "max": F.max, "std": F.stddev_samp}
 
@@ -101,23 +102,31 @@ def ordered_path(
     keys: Sequence[str],
     value: str,
     order: Sequence[str],
-    block: Column,
+    block: Column | None = None,
     sep: str = "->",
     name: str = "path",
+    rows: int = 100_000,
 ) -> DataFrame:
     """Values of each group joined to one text in order.
 
-    ``block`` must never decrease along ``order`` (an hour of the timestamp, a
-    hundred of the hit number). Each block is sorted and joined on its own, then the
-    few block texts are joined, so a very long group is sorted in pieces.
+    A group of more than ``rows`` rows is cut at quantiles of its first order column; each
+    piece is sorted and joined on its own, then the texts of the pieces are joined in turn.
+    ``block`` gives the pieces instead; it must never decrease along ``order``.
     """
     by = ", ".join(f"`{c}`" for c in order)
     quoted = sep.replace("'", "\\'")
-    parts = (
-        df.withColumn("_block", block)
-        .groupBy(*keys, "_block")
-        .agg(F.expr(f"listagg(`{value}`, '{quoted}') within group (order by {by})").alias("_part"))
+    if block is None:
+        cuts = long_groups(df, keys, order[0], rows)
+        cut = with_blocks(df, keys, order[0], cuts)
+        # Without an order value rows come first, as in the sort below.
+        cut = cut.withColumn("_block", F.when(F.col(order[0]).isNull(), -1).otherwise(F.col("_block")))
+    else:
+        cuts, cut = df, df.withColumn("_block", block)
+    parts = cut.groupBy(*keys, *(["_block"] if cuts is not None else [])).agg(
+        F.expr(f"listagg(`{value}`, '{quoted}') within group (order by {by})").alias("_part")
     )
+    if cuts is None:
+        return parts.select(*keys, F.coalesce(F.col("_part"), F.lit("")).alias(name))
     joined = parts.groupBy(*keys).agg(
         F.expr(f"listagg(_part, '{quoted}') within group (order by _block)").alias(name)
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymill.operators.quantiles import exact_quantiles
+from tallymill.session import stored
 
 _SAMPLE = 255
 _STEP = 16
@@ -32,51 +33,83 @@ def order_by_labels(df: DataFrame, col: str, labels: Sequence[str], *then: str)
     return df.orderBy(label_rank(col, labels).asc_nulls_last(), *then)
 
 
-def global_rank(df: DataFrame, order: Sequence[str], name: str = "rank") -> DataFrame:
-    """Row number 1..n over the whole table along ``order``, without a one-task window.
+def _located(df: DataFrame, edges: Column, coarse: Column) -> DataFrame:
+    """``df`` with ``_sub``, the number of ``edges`` up to the row's ``_key``.
 
-    ``order`` must be unique per row. 255 rows picked by the hash of their order key
-    (the same on every run) cut the order into 256 blocks; rows are numbered within
-    their block and shifted by the counts of the blocks before it. A value shared by a
-    third of the table is cut by the next order column.
+    Every sixteenth edge is looked at first, then the fifteen between two of them.
     """
-    key = F.struct(*order)
-    picked = (
-        df.select(key.alias("_key"))
-        .orderBy(F.xxhash64("_key"), "_key")
-        .limit(_SAMPLE)
-        .agg(F.array_sort(F.collect_list("_key")).alias("edges"))
+    fine = F.filter(F.slice(edges, F.col("_c") * _STEP + 1, F.lit(_STEP - 1)), lambda e: e <= F.col("_key"))
+    return (
+        df.withColumn("_c", F.size(F.filter(coarse, lambda e: e <= F.col("_key"))))
+        .withColumn("_sub", F.col("_c") * _STEP + F.size(fine))
+        .drop("_c")
     )
-    # Binary-ish search: sixteen coarse edges first, then the fifteen between two of them.
-    coarse = F.expr(f"filter(edges, (e, i) -> (i + 1) % {_STEP} = 0)")
-    edges = picked.select(F.struct("edges", coarse.alias("coarse")).alias("v")).scalar()
-    located = (
-        df.withColumn("_key", key)
-        .withColumn("_edges", edges)
-        .withColumn("_c", F.size(F.filter("_edges.coarse", lambda e: e <= F.col("_key"))))
-        .withColumn(
-            "_block",
-            F.col("_c") * _STEP
-            + F.size(
-                F.filter(
-                    F.slice("_edges.edges", F.col("_c") * _STEP + 1, F.lit(_STEP - 1)),
-                    lambda e: e <= F.col("_key"),
-                )
-            ),
+
+
+def _edges(picked: DataFrame, *keys: str) -> DataFrame:
+    """Sorted edges, and every sixteenth of them, from rows of ``_key``."""
+    edges = picked.groupBy(*keys).agg(F.array_sort(F.collect_list("_key")).alias("_edges"))
+    return edges.withColumn("_coarse", F.expr(f"filter(_edges, (e, i) -> (i + 1) % {_STEP} = 0)"))
+
+
+def ordered_blocks(df: DataFrame, order: Sequence[str], rows: int = 1_000_000) -> DataFrame:
+    """``df`` written with ``_key`` and ``_block``, a number that never decreases along ``order``.
+
+    255 rows picked by the hash of their order key (the same on every run) cut the order
+    into 256 blocks. Blocks of more than ``rows`` rows are cut again in the same way, all in
+    the same jobs, until none is left; so the number of blocks follows the table, and a value
+    shared by a third of it is cut by the next order column. ``order`` must be unique.
+    """
+    keyed = df.withColumn("_key", F.struct(*order))
+    picked = keyed.select("_key").orderBy(F.xxhash64("_key"), "_key").limit(_SAMPLE)
+    edges = _edges(picked).select(F.struct("_edges", "_coarse").alias("v")).scalar()
+    placed = _located(keyed.withColumn("_v", edges), F.col("_v._edges"), F.col("_v._coarse")).drop("_v")
+    placed = stored(placed.withColumnRenamed("_sub", "_block").withColumn("_block", F.col("_block").cast("long")), "blocks")
+    while True:
+        large = stored(
+            placed.groupBy("_block").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows).select("_block"),
+            "large-blocks",
+        )
+        if large.isEmpty():
+            return placed
+        inside = placed.join(large, "_block", "left_semi").select("_block", "_key")
+        first = Window.partitionBy("_block").orderBy(F.xxhash64("_key"), "_key")
+        picked = inside.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= _SAMPLE)
+        finer = stored(_edges(picked, "_block"), "block-edges")
+        placed = _located(placed.join(finer, "_block", "left"), F.col("_edges"), F.col("_coarse"))
+        sub = F.when(F.col("_edges").isNull(), F.lit(0)).otherwise(F.col("_sub"))
+        placed = stored(
+            placed.withColumn("_block", F.col("_block") * (_SAMPLE + 1) + sub).drop("_edges", "_coarse", "_sub"), "blocks"
         )
-        .drop("_edges", "_c")
+
+
+def global_rank(df: DataFrame, order: Sequence[str], name: str = "rank", rows: int = 1_000_000) -> DataFrame:
+    """Row number 1..n over the whole table along ``order``, without a one-task window.
+
+    ``order`` must be unique per row. Rows are numbered within their block of
+    :func:`ordered_blocks`, none of more than ``rows`` rows, and shifted by the counts of
+    the blocks before it, which are added up in groups of 4,096 first.
+    """
+    located = ordered_blocks(df, order, rows)
+    counts = located.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
+    # Blocks are numbered with gaps after a second cut; their groups follow the order too.
+    counts = counts.withColumn("_block_group", F.floor(F.col("_block") / 4096))
+    earlier = Window.partitionBy("_block_group").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("_block_group").rowsBetween(Window.unboundedPreceding, -1)
+    groups = (
+        counts.groupBy("_block_group")
+        .agg(F.sum("_n").alias("_all"))
+        .select("_block_group", F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_base"))
     )
-    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        located.groupBy("_block")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+        counts.withColumn("_in", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .join(groups, "_block_group")
+        .select("_block", (F.col("_in") + F.col("_base")).alias("_offset"))
     )
     inside = Window.partitionBy("_block").orderBy("_key")
-    # At most 256 rows of offsets.
     return (
         located.withColumn("_row", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "_block", "left")
+        .join(offsets, "_block", "left")
         .withColumn(name, F.col("_row") + F.col("_offset"))
         .select(*df.columns, name)
     )

@@ -1,9 +1,9 @@
 """Per-group and per-series row operators.
 
-A plain window keeps a whole series in one task. Here a series is cut into chunks of
-consecutive rows; each chunk also receives the few rows before and after it that the
-frame can reach, so results are exact and a series holding a third of the table is
-spread over many tasks.
+A plain window keeps a whole series in one task. Here a long series is cut into pieces of
+consecutive rows, and only the rows next to a cut, whose frame reaches into another piece,
+are exchanged; so results are exact and a series holding a third of the table is spread
+over many tasks.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tallymill.functions.columns import pearson
+from tallymill.operators.cuts import long_groups, same_keys, with_blocks
+from tallymill.session import stored
 
 
 def top_n_per_group(
@@ -87,27 +89,73 @@ def series_window(
     exprs: Mapping[str, Callable[[WindowSpec], Column]],
     before: int,
     after: int = 0,
-    blocks: Sequence[Column] | None = None,
-    chunk: int = 4096,
+    chunk: int = 10_000,
 ) -> DataFrame:
     """Add ``exprs[name](window)`` columns, reaching ``before`` / ``after`` rows.
 
-    ``order`` must break all ties within a series. By default rows are blocked by
-    the year of the first order column.
+    ``order`` must break all ties within a series; rows with a null key are dropped.
+    Rows are shuffled once, to the pieces of their series. A series of at most ``chunk``
+    rows is one piece. In a longer one only the rows next to a cut are exchanged: their
+    frame reaches into another piece, so it is worked out again around the cut.
     """
-    blocks = [F.year(order[0])] if blocks is None else blocks
-    if before + after >= chunk:
-        chunk = 4 * (before + after)
-    placed = with_positions(df, keys, order, blocks)
-    first = F.greatest(F.lit(0), F.floor((F.col("_pos") - after) / chunk))
-    last = F.floor((F.col("_pos") + before) / chunk)
-    spread = placed.withColumn("_chunk", F.explode(F.sequence(first, last)))
-    w = Window.partitionBy(*keys, "_chunk").orderBy("_pos")
-    return (
-        spread.withColumns({n: e(w) for n, e in exprs.items()})
-        .where(F.col("_chunk") == F.floor(F.col("_pos") / chunk))
+    for key in keys:
+        df = df.where(F.col(key).isNotNull())
+    cuts = long_groups(df, keys, order[0], max(chunk, before + after + 1))
+    placed = with_blocks(df, keys, order[0], cuts)
+    sorted_by = [F.col(c).asc_nulls_last() for c in order]
+    w = Window.partitionBy(*keys, "_block").orderBy(*sorted_by)
+    inner = placed.withColumns({n: e(w) for n, e in exprs.items()})
+    if cuts is None:
+        return inner.select(*df.columns, *exprs)
+
+    # Where each piece begins, counted in rows; one array per long series.
+    named = [F.col(k).alias(f"_k_{k}") for k in keys]
+    sizes = placed.join(cuts.select(*[f"_k_{k}" for k in keys]), same_keys(keys, "_k_"), "left_semi").groupBy(
+        *named, "_block"
+    ).agg(F.count(F.lit(1)).alias("_n"))
+    ends = sizes.groupBy(*[f"_k_{k}" for k in keys]).agg(
+        F.array_sort(F.collect_list(F.struct("_block", "_n"))).alias("_s")
+    )
+    starts = F.transform(
+        "_s",
+        lambda s: F.struct(
+            s["_block"].alias("block"),
+            F.aggregate(
+                F.filter("_s", lambda x: x["_block"] < s["_block"]), F.lit(0).cast("long"), lambda a, x: a + x["_n"]
+            ).alias("start"),
+        ),
+    )
+    starts = stored(ends.select(*[f"_k_{k}" for k in keys], starts.alias("_starts")), "piece-starts")
+    at = F.element_at(F.filter("_starts", lambda s: s["block"] == F.col("_block")), 1)["start"]
+    row = inner.withColumn("_row", F.row_number().over(w)).join(starts, same_keys(keys, "_k_"), "left")
+    row = row.withColumn("_pos", F.coalesce(at, F.lit(0)) + F.col("_row") - 1)
+    inside = F.filter("_starts", lambda s: s["start"] > 0)
+    borders = F.coalesce(F.transform(inside, lambda s: s["start"]), F.array().cast("array<bigint>"))
+
+    def reaches(back: int, ahead: int) -> Column:
+        """The borders for which the row lies within so many rows after, or before, them."""
+        return F.filter(
+            borders, lambda b: (F.col("_pos") - back < b) & (b <= F.col("_pos") + ahead)
+        )
+
+    whole = row.where(F.size(reaches(before, after)) == 0).select(*df.columns, *exprs)
+    # Every row next to a border is worked out at the first one in its reach; what its
+    # frame needs lies within twice that distance.
+    near = before + after + 1
+    mine = F.element_at(reaches(before, after), 1)
+    edge = (
+        row.drop(*exprs)
+        .where(F.size(reaches(near, near)) > 0)
+        .withColumn("_own", F.when(F.size(reaches(before, after)) > 0, mine))
+        .withColumn("_block_edge", F.explode(reaches(near, near)))
+    )
+    around = Window.partitionBy(*keys, "_block_edge").orderBy(*sorted_by)
+    again = (
+        edge.withColumns({n: e(around) for n, e in exprs.items()})
+        .where(F.col("_own") == F.col("_block_edge"))
         .select(*df.columns, *exprs)
     )
+    return whole.unionByName(again)
 
 
 def lag_of(col: str, k: int) -> Callable[[WindowSpec], Column]:
@@ -216,13 +264,22 @@ def autocorr(
     ``flat=True`` lags once over the group ordered by (series, date), so the first
     row of a series is paired with the last row of the one before it.
     """
-    lagged = {"_prev": lag_of(col, 1)}
+    for key in [*groups, *series]:
+        df = df.where(F.col(key).isNotNull())
+    out = series_window(df, [*groups, *series], [date], {"_prev": lag_of(col, 1)}, 1)
     if flat:
-        out = series_window(
-            df, groups, [*series, date], lagged, 1, blocks=[*map(F.col, series), F.year(date)]
+        # What crosses from one series to the next is one pair per series.
+        at, nulls = F.col(date), F.col(date).isNull()
+        ends = df.groupBy(*groups, *series).agg(
+            F.min(F.struct(nulls, at, F.col(col).alias("v")))["v"].alias("_first"),
+            F.max(F.struct(nulls, at, F.col(col).alias("v")))["v"].alias("_last"),
+        )
+        crossing = ends.withColumn("_prev", F.lag("_last").over(Window.partitionBy(*groups).orderBy(*series)))
+        pairs = out.select(*groups, F.col(col), "_prev").unionByName(
+            crossing.select(*groups, F.col("_first").alias(col), "_prev")
         )
-        return out.groupBy(*groups).agg(pearson(F.col(col), F.col("_prev")).alias(name))
-    out = series_window(df, [*groups, *series], [date], lagged, 1)
+        # Rows without a value before them count for nothing, so a first row counts once.
+        return pairs.groupBy(*groups).agg(pearson(F.col(col), F.col("_prev")).alias(name))
     per_series = out.groupBy(*groups, *series).agg(
         pearson(F.col(col), F.col("_prev")).alias("_r")
     )

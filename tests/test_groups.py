@@ -14,7 +14,7 @@ from tallymill.operators.aggregates import (
     yoy_growth,
 )
 from tallymill.operators.quantiles import exact_quantiles
-from tallymill.operators.ranking import global_rank, head_tail, order_by_labels, quantile_score
+from tallymill.operators.ranking import global_rank, head_tail, order_by_labels, ordered_blocks, quantile_score
 from tallymill.operators.reshape import (
     explode_list,
     fit_labels,
@@ -134,6 +134,16 @@ def test_exact_quantiles_with_a_rough_sketch_and_a_hot_group(spark):
         assert got.loc[key].tolist() == pytest.approx([part.v.quantile(p) for p in (0.1, 0.5, 0.9)])
 
 
+def test_a_hot_key_is_joined_in_pieces(spark):
+    df = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("u"), F.col("id") % 500)).alias("k"),
+        F.timestamp_seconds(F.pmod(F.hash("id"), F.lit(100_000))).alias("ts"), "id", F.col("id").cast("string").alias("v"),
+    )
+    got = {r.k: r.path for r in ordered_path(df, ["k"], "v", ["ts", "id"], rows=100).collect()}
+    want = df.toPandas().sort_values(["ts", "id"]).groupby("k").v.agg("->".join).to_dict()
+    assert got == want
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None, "a")], "v double, k string")
     assert exact_quantiles(df, "v", [0.5], ["k"]).count() == 0
@@ -147,6 +157,15 @@ def test_global_rank_is_the_sorted_position(spark, n):
     assert got["rank"].tolist() == list(range(1, n + 1))
 
 
+def test_global_rank_cuts_blocks_until_none_is_large(spark):
+    """Two levels of splitters: no block above its bound, and the same ranks."""
+    df = spark.range(30000).select("id", F.when(F.col("id") % 3 == 0, 1).otherwise(F.pmod(F.hash("id"), 50)).alias("f"))
+    blocks = ordered_blocks(df, ["f", "id"], rows=40).groupBy("_block").count().toPandas()
+    assert blocks["count"].max() <= 40 and len(blocks) > 256
+    got = global_rank(df, ["f", "id"], rows=40).toPandas().sort_values(["f", "id"])
+    assert got["rank"].tolist() == list(range(1, 30001))
+
+
 def test_global_rank_puts_no_table_in_one_task(spark):
     df = spark.range(20000).select("id", F.lit(1).alias("f"))
     blocks = global_rank(df, ["f", "id"])

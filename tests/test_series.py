@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tallymill.operators.cuts import long_groups, with_blocks
 from tallymill.operators.series import (
     FeatureSpec,
     PanelColumns,
@@ -21,9 +22,12 @@ from tallymill.operators.windows import (
     autocorr,
     centered_mean,
     group_stat_feature,
+    lag_of,
     period_index,
+    series_window,
     time_index,
     top_n_per_group,
+    trailing_mean,
     with_positions,
 )
 
@@ -223,3 +227,27 @@ def test_forecast_features_continue_the_index_and_keep_training_labels(spark):
     assert spec.months == [1, 12] and got[0].month_1 == 1
     assert FeatureSpec(**spec.to_dict()) == spec
     assert PanelColumns().value == "sales"
+
+
+def test_only_rows_next_to_a_cut_are_exchanged(spark):
+    """A series with most of the rows is many pieces; the panel is shuffled once."""
+    df = spark.range(30000).select(
+        F.when(F.col("id") < 24000, F.lit("hot")).otherwise(F.concat(F.lit("s"), F.col("id") % 7)).alias("store"),
+        F.timestamp_seconds(F.col("id") * 977 % 30011).alias("ts"),
+        F.col("id").cast("double").alias("sales"),
+    )
+    exprs = {"lag_2": lag_of("sales", 2), "roll": trailing_mean("sales", 5), "next": lambda w: F.lead("sales", 3).over(w)}
+    got = series_window(df, ["store"], ["ts"], exprs, before=5, after=3, chunk=1000).toPandas()
+    want = df.toPandas().sort_values(["store", "ts"]).reset_index(drop=True)
+    got = got.sort_values(["store", "ts"]).reset_index(drop=True)
+    by = want.groupby("store")["sales"]
+    assert len(got) == len(want)
+    np.testing.assert_array_equal(got.lag_2, by.shift(2))
+    np.testing.assert_array_equal(got.next, by.shift(-3))
+    np.testing.assert_allclose(got.roll, by.transform(lambda s: s.shift(1).rolling(5).mean()))
+    cuts = long_groups(df, ["store"], "ts", 1000)
+    pieces = with_blocks(df, ["store"], "ts", cuts).groupBy("store", "_block").count().toPandas()
+    assert set(cuts.toPandas()["_k_store"]) == {"hot"} and pieces["count"].max() < 1500
+    short = series_window(df, ["store"], ["ts"], exprs, before=5, after=3, chunk=100_000)
+    plan = short._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
