@@ -7,19 +7,17 @@ import os
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import reduce
 from itertools import product
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymill.functions.calendar import future_dates, seasonal_terms
 from tallymill.functions.columns import clip_lower
-from tallymill.operators.linear import fit_ridge, fit_series_ols, predict_linear
-from tallymill.operators.reshape import fit_labels
+from tallymill.operators.boosting import best_rounds, fit_boosted, lay_out, predict_boosted
+from tallymill.operators.labels import label_index
+from tallymill.operators.linear import fit_blocked_ridge, fit_series_ols, predict_blocked
 from tallymill.operators.series import (
     FeatureSpec,
     PanelColumns,
@@ -30,11 +28,11 @@ from tallymill.operators.series import (
 )
 from tallymill.operators.stats import choose_policy, family_metrics
 from tallymill.operators.windows import autocorr
-from tallymill.session import ensure_checkpoint_dir, stored
+from tallymill.session import stored
 
-# The searched values of the boosted stage, small enough to run per family.
+# The searched values of the boosted stage.
 DEFAULT_GRID = {"maxDepth": [3, 5], "stepSize": [0.1], "maxIter": [20], "minInstancesPerNode": [5]}
-_TREE_FIXED = {"subsamplingRate": 0.7, "featureSubsetStrategy": "0.7", "seed": 42}
+_TREE_FIXED = {"subsamplingRate": 0.7, "featureRate": 0.7}
 
 
 def time_split(df: DataFrame, date: str, cut: str) -> tuple[DataFrame, DataFrame]:
@@ -68,78 +66,59 @@ def combine_forecast(
     return out if floor is None else clip_lower(out, floor)
 
 
-def _vectors(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
+def fit_store_ridge(
+    rows: DataFrame, spec: FeatureSpec, cols: PanelColumns, alpha: float
+) -> tuple[DataFrame, DataFrame]:
+    """Ridge of every family with an offset and a slope per store, however many stores there are."""
+    return fit_blocked_ridge(
+        rows, [cols.family], cols.store, spec.shared_columns(), spec.own_columns(), cols.value, alpha
+    )
+
+
+def predict_store_ridge(
+    rows: DataFrame, ridge: tuple[DataFrame, DataFrame], spec: FeatureSpec, cols: PanelColumns, name: str
+) -> DataFrame:
+    return predict_blocked(
+        rows, *ridge, [cols.family], cols.store, spec.shared_columns(), spec.own_columns(), name
+    )
 
 
 def fit_residual_trees(
-    train: DataFrame, features: Sequence[str], target: str, params: Mapping, validation: str | None = None
-) -> GBTRegressionModel:
-    """Boosted trees; ``validation`` names the flag column of the rows that stop the boosting."""
-    ensure_checkpoint_dir(train.sparkSession)
-    trees = GBTRegressor(featuresCol="features", labelCol=target, **{**_TREE_FIXED, **params})
-    if validation is not None:
-        trees = trees.setValidationIndicatorCol(validation)
-    return trees.fit(_vectors(train, features))
-
-
-def search_trees(
-    train: DataFrame,
+    rows: DataFrame,
+    groups: Sequence[str],
     features: Sequence[str],
     target: str,
-    grid: Mapping[str, Sequence],
-    date: str,
-    validation_cut: str,
-) -> tuple[dict, GBTRegressionModel, float]:
-    """Best parameters by error on the rows from ``validation_cut`` on.
+    settings: Sequence[Mapping],
+    order: Sequence[str],
+    validation: Column | None = None,
+    wanted: DataFrame | None = None,
+) -> DataFrame:
+    """The best boosted trees of every group, all groups and settings in the same jobs.
 
-    Those rows also stop the boosting. Choosing by training error would always prefer
-    the deepest trees.
+    Rows of ``validation`` grow no tree: by their error the setting and the number of trees
+    are chosen, as training error would always prefer the deepest trees. Without them each
+    group keeps all trees of its first setting. ``order`` tells rows of a group apart.
     """
-    held = _vectors(train, features).withColumn(
-        "_held", F.col(date) >= F.lit(validation_cut).cast(train.schema[date].dataType)
-    ).select("features", target, "_held").persist()
-    ensure_checkpoint_dir(train.sparkSession)
-    best = None
-    try:
-        for params in parameter_grid(grid):
-            model = GBTRegressor(
-                featuresCol="features", labelCol=target, validationIndicatorCol="_held",
-                **{**_TREE_FIXED, **params},
-            ).fit(held)
-            error = (
-                model.transform(held.where("_held"))
-                .agg(F.avg(F.abs(F.col(target) - F.col("prediction"))))
-                .first()[0]
-            )
-            if best is None or (error is not None and error < best[2]):
-                best = (params, model, error)
-    finally:
-        held.unpersist()
-    return best
+    chunks = lay_out(rows, groups, features, target, order, validation)
+    fitted = fit_boosted(chunks, groups, [{**_TREE_FIXED, **s} for s in settings], wanted)
+    return stored(best_rounds(fitted, groups), "residual-trees")
 
 
 @dataclass
 class FamilyModels:
-    """What prediction needs: one table of linear parameters and the trees of some families."""
+    """What prediction needs, as tables.
+
+    Linear parameters per family and per family and store, kept dates, store numbers, and
+    the trees per family.
+    """
 
     spec: FeatureSpec
     params: DataFrame
     index: DataFrame
-    trees: dict[str, GBTRegressionModel] = field(default_factory=dict)
-    tree_params: dict[str, dict] = field(default_factory=dict)
-
-
-def _correct(df: DataFrame, family: str, trees: Mapping[str, GBTRegressionModel], features, name: str) -> DataFrame:
-    """Add the tree prediction of each row's family, 0 where the family has no trees."""
-    rest = df.where(~F.col(family).isin(list(trees))) if trees else df
-    parts = [rest.withColumn(name, F.lit(0.0))]
-    for label, model in trees.items():
-        mine = _vectors(df.where(F.col(family) == label), features)
-        parts.append(
-            model.transform(mine).withColumn(name, F.col("prediction")).drop("features", "prediction")
-        )
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    blocks: DataFrame
+    stores: DataFrame
+    boosted: DataFrame | None = None
+    trees: dict[str, dict] = field(default_factory=dict)
 
 
 def diagnose(
@@ -152,51 +131,54 @@ def diagnose(
     grid: Mapping[str, Sequence] = DEFAULT_GRID,
     cols: PanelColumns = PanelColumns(),
     gate: bool = True,
-    threads: int = 4,
 ) -> tuple[DataFrame, DataFrame, dict[str, dict]]:
     """Hybrid forecast of every family and its metrics.
 
-    Features and the ridge stage run for all families at once; only the boosted stage
-    is one set of jobs per family, submitted side by side. Returns the scored rows,
-    the metrics table with the policy, and the best tree parameters per family.
+    All stages run for all families at once. Returns the scored rows, the metrics table
+    with the policy, and the best tree parameters per family.
     """
-    spec = fit_spec(panel, cols, lags, rolls)
-    linear, tree = spec.linear_columns(), spec.tree_columns()
-    rows = stored(build_features(panel, lags, rolls, cols, spec), "features")
+    spec = fit_spec(panel, cols, lags, rolls, wide=False)
+    tree, codes = spec.tree_columns(), label_index(panel, [cols.store])
+    rows = stored(build_features(panel, lags, rolls, cols, spec, codes=codes), "features")
     train, _ = time_split(rows, cols.date, split_date)
-    params = stored(fit_ridge(train, [cols.family], linear, cols.value, alpha), "ridge")
-    fitted = predict_linear(train, params, [cols.family], linear, "lr_pred")
+    ridge = fit_store_ridge(train, spec, cols, alpha)
+    fitted = predict_store_ridge(train, ridge, spec, cols, "lr_pred")
     bias = residual_bias(fitted, [cols.family], cols.value, "lr_pred")
     scored = (
-        predict_linear(rows, params, [cols.family], linear, "lr_pred")
+        predict_store_ridge(rows, ridge, spec, cols, "lr_pred")
         .join(bias, cols.family, "left")
         .withColumn("lr_pred_corr", F.col("lr_pred") + F.col("bias"))
         .withColumn("lr_residual", F.col(cols.value) - F.col("lr_pred_corr"))
         .drop("bias")
     )
-    # One folder per family: each family's searches then read only their own rows.
-    scored = stored(scored, "scored", (cols.family,))
+    scored = stored(scored, "scored")
     known, _ = time_split(scored, cols.date, split_date)
-    families = fit_labels(panel, [cols.family])[cols.family]
-
-    def search(label):
-        return lambda: search_trees(
-            known.where(F.col(cols.family) == label), tree, "lr_residual", grid, cols.date, validation_cut
+    settings = parameter_grid(grid)
+    trees = fit_residual_trees(
+        known,
+        [cols.family],
+        tree,
+        "lr_residual",
+        settings,
+        [cols.store, cols.date],
+        F.col(cols.date) >= F.lit(validation_cut).cast(panel.schema[cols.date].dataType),
+    )
+    corrected = (
+        predict_boosted(scored, trees, [cols.family], tree, "xgb_pred")
+        .withColumn("xgb_pred", F.coalesce("xgb_pred", F.lit(0.0)))
+        .withColumn(
+            "hybrid_pred",
+            combine_forecast(
+                F.col("lr_pred_corr"), F.col("xgb_pred"), F.col("is_active") if gate else None, floor=None
+            ),
         )
-
-    found = dict(zip(families, in_parallel(panel.sparkSession, [search(f) for f in families], threads)))
-    trees = {f: hit[1] for f, hit in found.items()}
-    corrected = _correct(scored, cols.family, trees, tree, "xgb_pred").withColumn(
-        "hybrid_pred",
-        combine_forecast(
-            F.col("lr_pred_corr"), F.col("xgb_pred"), F.col("is_active") if gate else None, floor=None
-        ),
     )
     _, test = time_split(corrected, cols.date, split_date)
-    first_slope = len(linear) - len(spec.slope_columns())
-    slopes = params.select(cols.family, F.slice("coef", first_slope + 1, max(1, len(linear) - first_slope)).alias("_s"))
-    slopes = slopes.select(cols.family, F.explode_outer("_s").alias("_s")).groupBy(cols.family).agg(
-        F.var_pop("_s").alias("store_slope_variance")
+    slopes = (
+        ridge[1]
+        .where(F.col(cols.store) != F.lit(spec.stores[0]))
+        .groupBy(cols.family)
+        .agg(F.var_pop(F.get("own_coef", F.lit(1))).alias("store_slope_variance"))
     )
     acf = autocorr(
         scored, [cols.family], [cols.store], cols.date, "lr_residual", flat=True, name="mean_residual_acf"
@@ -206,7 +188,8 @@ def diagnose(
         .join(acf, cols.family, "left")
         .join(slopes, cols.family, "left")
     )
-    return corrected, choose_policy(metrics), {f: hit[0] for f, hit in found.items()}
+    best = {r[0]: settings[r[1]] for r in trees.select(cols.family, "setting").collect()}
+    return corrected, choose_policy(metrics), best
 
 
 def train_all(
@@ -215,72 +198,74 @@ def train_all(
     tree_params: Mapping[str, Mapping],
     alpha: float = 4.0,
     cols: PanelColumns = PanelColumns(),
-    threads: int = 4,
 ) -> FamilyModels:
     """Fit every family on all rows with future-safe features.
 
-    One job fits all ridges; trees are only fitted for families with policy 'hybrid'.
+    Ridges, and the trees of all families with policy 'hybrid', are each fitted in the same
+    jobs; families that share their parameters share a setting.
     """
-    spec = fit_spec(panel, cols)
-    index = date_index(panel, cols)
-    linear, tree = spec.linear_columns(), spec.tree_columns()
-    rows = stored(build_forecast_features(panel, spec, None, cols), "features", (cols.family,))
-    params = stored(fit_ridge(rows, [cols.family], linear, cols.value, alpha), "ridge")
-    fitted = predict_linear(rows, params, [cols.family], linear, "lr_pred")
+    spec = fit_spec(panel, cols, wide=False)
+    index, codes = date_index(panel, cols), label_index(panel, [cols.store])
+    tree = spec.tree_columns()
+    rows = stored(build_forecast_features(panel, spec, None, cols, codes), "features")
+    ridge = fit_store_ridge(rows, spec, cols, alpha)
+    params, blocks = ridge
+    fitted = predict_store_ridge(rows, ridge, spec, cols, "lr_pred")
     bias = residual_bias(fitted, [cols.family], cols.value, "lr_pred")
-    params = params.join(bias, cols.family).withColumn(
-        "policy",
-        F.coalesce(
-            F.try_element_at(
-                F.create_map(*[F.lit(x) for kv in policies.items() for x in kv]), F.col(cols.family)
-            ),
-            F.lit("lr"),
-        ),
+    spark, kind = panel.sparkSession, panel.schema[cols.family].dataType.simpleString()
+    chosen = spark.createDataFrame(list(policies.items()), f"`{cols.family}` {kind}, policy string")
+    params = (
+        params.join(bias, cols.family)
+        .join(chosen, cols.family, "left")
+        .withColumn("policy", F.coalesce("policy", F.lit("lr")))
     )
     residual = (
-        predict_linear(rows, params, [cols.family], linear, "lr_pred")
+        predict_store_ridge(rows, ridge, spec, cols, "lr_pred")
         .join(params.select(cols.family, "bias"), cols.family)
         .withColumn("lr_residual", F.col(cols.value) - F.col("lr_pred") - F.col("bias"))
     )
     hybrid = [f for f, p in policies.items() if p == "hybrid"]
 
-    def fit(label):
-        return lambda: fit_residual_trees(
-            residual.where(F.col(cols.family) == label), tree, "lr_residual", tree_params[label]
-        )
-
-    trees = dict(zip(hybrid, in_parallel(panel.sparkSession, [fit(f) for f in hybrid], threads))) if hybrid else {}
-    return FamilyModels(spec, params, index, trees, {f: dict(tree_params[f]) for f in hybrid})
+    if not hybrid:
+        return FamilyModels(spec, params, index, blocks, codes)
+    settings = [dict(s) for s in {tuple(sorted(tree_params[f].items())): tree_params[f] for f in hybrid}.values()]
+    wanted = spark.createDataFrame(
+        [(f, [settings.index(dict(tree_params[f]))]) for f in hybrid],
+        f"`{cols.family}` {kind}, settings array<int>",
+    )
+    boosted = fit_residual_trees(
+        residual, [cols.family], tree, "lr_residual", settings, [cols.store, cols.date], None, wanted
+    )
+    return FamilyModels(spec, params, index, blocks, codes, boosted, {f: dict(tree_params[f]) for f in hybrid})
 
 
 def predict_all(df: DataFrame, models: FamilyModels, cols: PanelColumns = PanelColumns(), name: str = "sales") -> DataFrame:
     """Forecast every row of ``df``; families without trees use the ridge alone."""
-    linear, tree = models.spec.linear_columns(), models.spec.tree_columns()
-    rows = build_forecast_features(df, models.spec, models.index, cols)
+    tree = models.spec.tree_columns()
+    rows = build_forecast_features(df, models.spec, models.index, cols, models.stores)
     base = (
-        predict_linear(rows, models.params, [cols.family], linear, "_lr")
+        predict_store_ridge(rows, (models.params, models.blocks), models.spec, cols, "_lr")
         .join(models.params.select(cols.family, "bias"), cols.family, "left")
         .withColumn("_lr", F.col("_lr") + F.col("bias"))
     )
-    if models.trees:
-        base = stored(base, "base-forecast", (cols.family,))
-    scored = _correct(base, cols.family, models.trees, tree, "_trees")
+    if models.boosted is None:
+        return base.select(*df.columns, combine_forecast(F.col("_lr")).alias(name))
+    scored = predict_boosted(stored(base, "base-forecast"), models.boosted, [cols.family], tree, "_trees")
     return scored.select(
-        *df.columns, combine_forecast(F.col("_lr"), F.col("_trees")).alias(name)
+        *df.columns, combine_forecast(F.col("_lr"), F.coalesce("_trees", F.lit(0.0))).alias(name)
     )
 
 
 def save_models(models: FamilyModels, path: str) -> None:
-    """Parameter and index tables as parquet, each family's trees below ``trees/``."""
+    """Parameters, kept dates and trees as parquet tables, the rest as one line of JSON."""
     spark = models.params.sparkSession
     models.params.write.mode("overwrite").parquet(os.path.join(path, "params"))
     models.index.write.mode("overwrite").parquet(os.path.join(path, "index"))
-    labels = list(models.trees)
-    for i, label in enumerate(labels):
-        models.trees[label].write().overwrite().save(os.path.join(path, "trees", str(i)))
-    meta = json.dumps(
-        {"spec": models.spec.to_dict(), "families": labels, "tree_params": models.tree_params}
-    )
+    models.blocks.write.mode("overwrite").parquet(os.path.join(path, "blocks"))
+    models.stores.write.mode("overwrite").parquet(os.path.join(path, "stores"))
+    if models.boosted is not None:
+        models.boosted.write.mode("overwrite").parquet(os.path.join(path, "trees"))
+    meta = json.dumps({"spec": models.spec.to_dict(), "trees": models.trees})
     spark.range(1).select(F.lit(meta).alias("value")).coalesce(1).write.mode("overwrite").text(
         os.path.join(path, "meta")
     )
@@ -288,16 +273,14 @@ def save_models(models: FamilyModels, path: str) -> None:
 
 def load_models(spark: SparkSession, path: str) -> FamilyModels:
     meta = json.loads(spark.read.text(os.path.join(path, "meta")).first()[0])
-    trees = {
-        label: GBTRegressionModel.load(os.path.join(path, "trees", str(i)))
-        for i, label in enumerate(meta["families"])
-    }
     return FamilyModels(
         FeatureSpec(**meta["spec"]),
         spark.read.parquet(os.path.join(path, "params")),
         spark.read.parquet(os.path.join(path, "index")),
-        trees,
-        meta["tree_params"],
+        spark.read.parquet(os.path.join(path, "blocks")),
+        spark.read.parquet(os.path.join(path, "stores")),
+        spark.read.parquet(os.path.join(path, "trees")) if meta["trees"] else None,
+        meta["trees"],
     )
 
 

@@ -15,28 +15,35 @@ from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymill.operators.cleaning import most_frequent
 from tallymill.operators.encode import ordinal_code, sample_bucket
 from tallymill.operators.forecast import in_parallel, parameter_grid
+from tallymill.operators.labels import label_counts, label_index, one_hot_vectors
 from tallymill.operators.quantiles import exact_quantiles
-from tallymill.operators.reshape import dummies, fit_labels
+from tallymill.operators.reshape import dummies
 from tallymill.session import ensure_checkpoint_dir, scratch_path, stored
 
+# Labels of a column that may become a column each.
+_MOST_COLUMNS = 10_000
+
+
 class TablePreprocessor(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     """Column-wise imputation and encoding into one ``features`` vector.
 
     ``spec`` is a dictionary with any of
     ``median``: numeric columns filled by their exact median;
     ``constant``: {numeric column: fill value};
-    ``one_hot``: text columns, filled by the most frequent value, unknown is all zero;
+    ``one_hot``: text columns, filled by the most frequent value, unknown is all zero; their
+    labels are written and joined, and become sparse vectors, so any number of them works;
     ``ordinal``: {column: {"grades": [...], "fill": grade or None}}, None fills by the
     most frequent value and an unknown grade is an error;
     ``target``: {"columns": [...], "label": column, "m": 5.0} for smoothed means. Their
     tables are written, and joined when rows are encoded, so any number of categories
-    works; give a lasting ``"folder"`` to a model that outlives its application.
+    works. Give a lasting ``"folder"``, to ``target`` and beside ``one_hot``, to a model that
+    outlives its application.
     """
 
     spec = Param(Params._dummy(), "spec", "what to do with which column (JSON)", TypeConverters.toString)
@@ -74,10 +81,15 @@ class TablePreprocessor(Estimator, DefaultParamsReadable, DefaultParamsWritable)
         fitted = {
             "median": {c: found[f"median_{c}"] for c in spec.get("median", [])},
             "mode": {c: found[f"mode_{c}"] for c in by_mode},
-            "labels": fit_labels(dataset, spec.get("one_hot", [])),
+            "labels": None,
+            "sizes": {},
             "prior": found.get("prior"),
             "target": {},
         }
+        if spec.get("one_hot"):
+            index = label_index(dataset, spec["one_hot"])
+            fitted["sizes"] = label_counts(index, spec["one_hot"])
+            fitted["labels"] = self._written(index, "labels", spec)
         for c in target["columns"] if target else []:
             m, prior = target.get("m", 5.0), F.lit(fitted["prior"])
             means = (
@@ -87,13 +99,18 @@ class TablePreprocessor(Estimator, DefaultParamsReadable, DefaultParamsWritable)
                 .where("n > 0")
                 .select("category", ((F.col("s") + m * prior) / (F.col("n") + m)).alias("mean"))
             )
-            folder = target.get("folder")
-            name = f"target-means-{uuid.uuid4().hex}"
-            path = f"{folder.rstrip('/')}/{name}" if folder else scratch_path(dataset.sparkSession, name)
-            means.write.parquet(path)
-            fitted["target"][c] = path
+            fitted["target"][c] = self._written(means, "target-means", target)
         return TablePreprocessorModel(spec=json.dumps(spec), fitted=json.dumps(fitted))
 
+    @staticmethod
+    def _written(table: DataFrame, name: str, how: Mapping) -> str:
+        """The path of ``table``, below ``how["folder"]`` or the application's folder."""
+        name = f"{name}-{uuid.uuid4().hex}"
+        folder = how.get("folder")
+        path = f"{folder.rstrip('/')}/{name}" if folder else scratch_path(table.sparkSession, name)
+        table.write.parquet(path)
+        return path
+
 
 class TablePreprocessorModel(Model, DefaultParamsReadable, DefaultParamsWritable):
     spec = Param(Params._dummy(), "spec", "what to do with which column (JSON)", TypeConverters.toString)
@@ -104,7 +121,19 @@ class TablePreprocessorModel(Model, DefaultParamsReadable, DefaultParamsWritable
         super().__init__()
         self._set(**self._input_kwargs)
 
-    def _columns(self) -> dict:
+    def _index(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(json.loads(self.getOrDefault(self.fitted))["labels"])
+
+    def _labels(self, col: str) -> list[str]:
+        """The labels of a column, for callers that want a column each."""
+        fitted = json.loads(self.getOrDefault(self.fitted))
+        if fitted["sizes"][col] > _MOST_COLUMNS:
+            raise ValueError(f"{col} has too many labels for a column each; use transform")
+        index = self._index(SparkSession.active()).where(F.col("column") == col)
+        return [r["label"] for r in index.orderBy("index").select("label").collect()]
+
+    def _columns(self, vectors: bool = False) -> dict:
+        """Expressions by feature name; with ``vectors`` the one-hot columns are one each."""
         spec = json.loads(self.getOrDefault(self.spec))
         fitted = json.loads(self.getOrDefault(self.fitted))
         out = {}
@@ -113,7 +142,10 @@ class TablePreprocessorModel(Model, DefaultParamsReadable, DefaultParamsWritable
         for c, value in spec.get("constant", {}).items():
             out[c] = F.coalesce(F.col(c).cast("double"), F.lit(float(value)))
         for c in spec.get("one_hot", []):
-            labels, top = fitted["labels"][c], fitted["mode"][c]
+            if vectors:
+                out |= {c: F.col(f"{c}_vector_")} if fitted["sizes"][c] else {}
+                continue
+            labels, top = self._labels(c), fitted["mode"][c]
             for label, (name, hit) in zip(labels, dummies(c, labels).items()):
                 filled = F.coalesce(hit.cast("double"), F.lit(0.0))
                 # A missing value counts as the most frequent one.
@@ -144,8 +176,13 @@ class TablePreprocessorModel(Model, DefaultParamsReadable, DefaultParamsWritable
         return self._with_means(dataset).select(*keep, *[e.alias(n) for n, e in self._columns().items()])
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        made = {f"_f_{n}": e for n, e in self._columns().items()}
-        wide = self._with_means(dataset).withColumns(made).select(*dataset.columns, *made)
+        fitted = json.loads(self.getOrDefault(self.fitted))
+        made = {f"_f_{n}": e for n, e in self._columns(vectors=True).items()}
+        ready = self._with_means(dataset)
+        if fitted["sizes"]:
+            fill = {c: F.lit(fitted["mode"][c]).cast("string") for c in fitted["sizes"]}
+            ready = one_hot_vectors(ready, self._index(dataset.sparkSession), fitted["sizes"], fill, "_vector_")
+        wide = ready.withColumns(made).select(*dataset.columns, *made)
         return (
             VectorAssembler(inputCols=list(made), outputCol="features").transform(wide).drop(*made)
         )
@@ -176,32 +213,32 @@ def grid_search(
     """Cross-validated mean absolute error of every combination, refit of the best.
 
     The fold of a row is fixed by its key. The preprocessor is fitted once per fold,
-    on the fold's training rows only, and shared by all combinations. Returns the
-    errors, best parameters, fitted preprocessor and model.
+    on the fold's training rows only, and shared by all combinations; folds and
+    combinations run side by side. Returns the errors, best parameters, fitted preprocessor and model.
     """
     combos = parameter_grid(grid)
-    errors = [[] for _ in combos]
-    tagged = df.withColumn("_fold", sample_bucket(ids, seed, folds))
-    for fold in range(folds):
+    tagged = stored(df.withColumn("_fold", sample_bucket(ids, seed, folds)), "folds")
+
+    def fold_errors(fold: int) -> list:
         train, held = tagged.where(F.col("_fold") != fold), tagged.where(F.col("_fold") == fold)
         prepared = preprocessor.fit(train)
         ready = prepared.transform(train).select("features", label).persist()
         check = prepared.transform(held).select("features", label).persist()
 
-        def one(params, ready=ready, check=check):
+        def one(params):
             model = fit(ready, label, params)
             return (
                 model.transform(check).agg(F.avg(F.abs(F.col(label) - F.col("prediction")))).first()[0]
             )
 
         try:
-            found = in_parallel(df.sparkSession, [lambda p=p: one(p) for p in combos], threads)
+            return in_parallel(df.sparkSession, [lambda p=p: one(p) for p in combos], threads)
         finally:
             ready.unpersist()
             check.unpersist()
-        for kept, error in zip(errors, found):
-            if error is not None:
-                kept.append(error)
+
+    by_fold = in_parallel(df.sparkSession, [lambda f=f: fold_errors(f) for f in range(folds)], folds)
+    errors = [[e for e in found if e is not None] for found in zip(*by_fold)]
     means = [sum(e) / len(e) for e in errors]
     best = combos[means.index(min(means))]
     prepared = preprocessor.fit(df)

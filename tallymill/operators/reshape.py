@@ -40,14 +40,19 @@ def unpivot(df: DataFrame, keys: Sequence[str], cols: Sequence[str], names=("col
     return df.unpivot(list(keys), list(cols), *names)
 
 
-def fit_labels(df: DataFrame, cols: Sequence[str]) -> dict[str, list]:
+def fit_labels(df: DataFrame, cols: Sequence[str], most: int = 10_000) -> dict[str, list]:
     """Sorted distinct labels per column, in one job for all columns.
 
-    Every label becomes a column of the caller's table, so they all come to the driver;
-    encode columns of identifiers by ``factorize`` or ``m_estimate_encode`` instead.
+    Every label becomes a column of the caller's table, so they all come to the driver. A
+    column of clearly more than ``most`` labels raises ``ValueError`` before any does; a
+    table of its labels (``label_index``) has no such bound.
     """
     if not cols:
         return {}
+    found = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"_{i}") for i, c in enumerate(cols)]).first()
+    large = [c for i, c in enumerate(cols) if found[i] > 1.2 * most]
+    if large:
+        raise ValueError(f"{large} have too many labels for a column each; use label_index")
     sets = df.agg(*[F.sort_array(F.collect_set(F.col(f"`{c}`"))).alias(f"_{i}") for i, c in enumerate(cols)]).first()
     return {c: list(sets[i]) for i, c in enumerate(cols)}
 

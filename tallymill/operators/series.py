@@ -8,6 +8,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymill.operators.labels import with_codes
 from tallymill.operators.reshape import dummies, dummy_name, fit_labels
 from tallymill.operators.windows import lag_of, series_window, time_index, trailing_mean
 
@@ -24,13 +25,20 @@ class PanelColumns:
 
 @dataclass
 class FeatureSpec:
-    """What training fixed for later rows: dummy labels, lags and rolling widths."""
+    """What training fixed for later rows: dummy labels, lags and rolling widths.
+
+    A ``wide`` spec has a dummy and a slope column per store. Otherwise ``stores`` holds the
+    first store only, and any number of others share two columns: ``store_own``, 1 in all
+    rows but the first store's, and ``store_time``, the time index there. A model with
+    coefficients of its own per store (:func:`fit_blocked_ridge`) is then the same model.
+    """
 
     stores: list
     weekdays: list = field(default_factory=lambda: list(range(7)))
     months: list = field(default_factory=lambda: list(range(1, 13)))
     lags: list = field(default_factory=list)
     rolls: list = field(default_factory=list)
+    wide: bool = True
 
     def to_dict(self) -> dict:
         return asdict(self)
@@ -45,6 +53,18 @@ class FeatureSpec:
             + self.slope_columns()
         )
 
+    def shared_columns(self) -> list[str]:
+        """The linear features that all stores share."""
+        return (
+            ["time_idx"]
+            + [dummy_name("dayofweek", v) for v in self.weekdays[1:]]
+            + [dummy_name("month", v) for v in self.months[1:]]
+        )
+
+    def own_columns(self) -> list[str]:
+        """The linear features with a coefficient per store, in a spec that is not wide."""
+        return ["store_own", "store_time"]
+
     def slope_columns(self) -> list[str]:
         return [dummy_name("store", v) + "_time" for v in self.stores[1:]]
 
@@ -54,16 +74,27 @@ class FeatureSpec:
             [f"lag_{k}" for k in self.lags]
             + [f"roll_{w}" for w in self.rolls]
             + ["year"]
-            + [dummy_name("store", v) for v in self.stores]
+            + ([dummy_name("store", v) for v in self.stores] if self.wide else ["store_code"])
             + [dummy_name("dayofweek", v) for v in self.weekdays]
             + [dummy_name("month", v) for v in self.months]
         )
 
 
 def fit_spec(
-    df: DataFrame, cols: PanelColumns = PanelColumns(), lags: Sequence[int] = (), rolls: Sequence[int] = ()
+    df: DataFrame,
+    cols: PanelColumns = PanelColumns(),
+    lags: Sequence[int] = (),
+    rolls: Sequence[int] = (),
+    wide: bool = True,
 ) -> FeatureSpec:
-    """Labels present in the training rows."""
+    """Labels present in the training rows; of the stores only the first unless ``wide``."""
+    if not wide:
+        days, months, first = df.agg(
+            F.sort_array(F.collect_set(F.weekday(cols.date))),
+            F.sort_array(F.collect_set(F.month(cols.date))),
+            F.min(cols.store),
+        ).first()
+        return FeatureSpec([first], list(days), list(months), list(lags), list(rolls), False)
     calendar = df.select(
         F.col(cols.store).alias("s"),
         F.weekday(cols.date).alias("w"),
@@ -97,12 +128,25 @@ def fill_panel(
     )
 
 
-def add_dummies(df: DataFrame, spec: FeatureSpec, cols: PanelColumns = PanelColumns()) -> DataFrame:
-    """All dummy columns and the store slopes, with the training labels."""
+def add_dummies(
+    df: DataFrame, spec: FeatureSpec, cols: PanelColumns = PanelColumns(), codes: DataFrame | None = None
+) -> DataFrame:
+    """All dummy columns and the store slopes, with the training labels.
+
+    With a spec that is not wide, the two columns that stand for them, and the stores'
+    numbers from ``codes`` (:func:`label_index` of the store column) if given.
+    """
     made = {}
-    made.update(dummies(cols.store, spec.stores, prefix="store"))
     made.update(dummies("dayofweek", spec.weekdays))
     made.update(dummies("month", spec.months))
+    if not spec.wide:
+        own = F.coalesce((F.col(cols.store) != F.lit(spec.stores[0])).cast("int"), F.lit(0))
+        made |= {"store_own": own, "store_time": own * F.col("time_idx")}
+        out = df.withColumns(made)
+        if codes is None:
+            return out
+        return with_codes(out, codes, [cols.store]).withColumnRenamed(f"{cols.store}_code", "store_code")
+    made.update(dummies(cols.store, spec.stores, prefix="store"))
     slopes = {
         dummy_name("store", v) + "_time": F.when(F.col(cols.store) == F.lit(v), F.col("time_idx")).otherwise(0)
         for v in spec.stores[1:]
@@ -117,6 +161,7 @@ def build_features(
     cols: PanelColumns = PanelColumns(),
     spec: FeatureSpec | None = None,
     activity_lags: Sequence[int] = (1, 7),
+    codes: DataFrame | None = None,
 ) -> DataFrame:
     """Features of all families in one lazy plan.
 
@@ -144,7 +189,7 @@ def build_features(
     complete = [f"lag_{k}" for k in lags] + [f"roll_{w}" for w in rolls]
     out = out.na.drop("any", subset=complete) if complete else out
     out = out.drop(*[f"lag_{k}" for k in wanted if k not in lags])
-    return out if spec is None else add_dummies(out, spec, cols)
+    return out if spec is None else add_dummies(out, spec, cols, codes)
 
 
 def date_index(df: DataFrame, cols: PanelColumns = PanelColumns()) -> DataFrame:
@@ -160,6 +205,7 @@ def build_forecast_features(
     spec: FeatureSpec,
     index: DataFrame | None = None,
     cols: PanelColumns = PanelColumns(),
+    codes: DataFrame | None = None,
 ) -> DataFrame:
     """Features that exist for future rows: time index, calendar, dummies, slopes.
 
@@ -189,4 +235,4 @@ def build_forecast_features(
             "year": F.year(cols.date),
         }
     )
-    return add_dummies(out, spec, cols)
+    return add_dummies(out, spec, cols, codes)
