@@ -9,8 +9,7 @@ from tallymill.operators.aggregates import nested_average, ordered_path
 from tallymill.operators.reshape import explode_list
 from tallymill.operators.windows import top_n_per_group
 from tallymill.plans.registry import iso, query, rounded
-from tallymill.session import scratch_path
-from tallymill.sources.sharded import read_sharded, write_sharded
+from tallymill.sources.sharded import daily_tables, read_sharded
 
 
 @query(
@@ -167,8 +166,7 @@ def size_profile(t):
 )
 def sum_in_suffix_range(t):
     # The events as a family of daily tables; only the folders of the range are read.
-    path = scratch_path(t.spark, "daily-events")
-    write_sharded(t.events, path, F.col("ts"))
+    path = daily_tables(t.spark, f"{t.folder}/events.parquet", F.col("ts"))
     days = read_sharded(t.spark, path, "20240105", "20240120")
     out = days.groupBy("event_type").agg(F.sum("value").alias("total"))
     return rounded(out, total=2).orderBy(F.desc("total"))
@@ -279,9 +277,7 @@ def spend_per_session(t):
 )
 def session_path(t):
     shown = t.events.where(F.col("event_type") != "error").withColumn("day", iso(F.to_date("ts")))
-    return ordered_path(
-        shown, ["user_id", "day"], "event_type", ["ts", "event_id"], F.hour("ts")
-    ).orderBy("user_id", "day")
+    return ordered_path(shown, ["user_id", "day"], "event_type", ["ts", "event_id"]).orderBy("user_id", "day")
 
 
 @query(

@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 from tallymill.functions.calendar import between_periods
 from tallymill.functions.columns import align_columns
 from tallymill.operators.cleaning import assert_output
+from tallymill.operators.boosting import best_rounds, fit_boosted, lay_out
 from tallymill.operators.forecast import (
     diagnose,
+    fit_store_ridge,
     load_models,
     predict_all,
+    predict_store_ridge,
     save_models,
     seasonal_fit_predict,
     time_split,
@@ -22,6 +25,7 @@ from tallymill.operators.reshape import dummy_name
 from tallymill.operators.series import (
     PanelColumns,
     build_features,
+    build_forecast_features,
     fill_panel,
     fit_spec,
 )
@@ -325,3 +329,104 @@ def family_forecast(t):
     out = stored(predict_all(asked, load_models(t.spark, path)), "family-forecast")
     assert_output(out, asked.count(), "sales")
     return rounded(out.withColumn("date", iso(F.col("date"))), sales=4).orderBy("family", "store", "date")
+
+
+_STUMP_PARTS = {"dayofweek": "isodow(date) - 1", "month": "month(date)", "dayofmonth": "day(date)"}
+_STUMP_LONG = " UNION ALL ".join(
+    f"SELECT family, '{name}' AS feature, {i} AS f, CAST({sql} AS DOUBLE) AS x, sales FROM panel"
+    for i, (name, sql) in enumerate(_STUMP_PARTS.items())
+)
+
+
+@query(
+    "family_stumps",
+    _PANEL_SQL
+    + f"""
+    , long AS ({_STUMP_LONG}),
+      g AS (SELECT family, feature, f, x, count(*) AS n, sum(sales) AS s FROM long GROUP BY ALL),
+      c AS (SELECT *, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER a AS nt, sum(s) OVER a AS st,
+                   lead(x) OVER w AS nx
+            FROM g WINDOW w AS (PARTITION BY family, f ORDER BY x), a AS (PARTITION BY family, f)),
+      v AS (SELECT *, sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) - st * st / nt AS gain FROM c WHERE nx IS NOT NULL)
+    SELECT family, feature, (x + nx) / 2 AS threshold, round(sl / nl, 4) AS left_mean,
+           round((st - sl) / (nt - nl), 4) AS right_mean
+    FROM v QUALIFY row_number() OVER (PARTITION BY family ORDER BY gain DESC, f, x) = 1
+    """,
+)
+def family_stumps(t):
+    """The best single split of every family's sales by the parts of the date, all families at once."""
+    parts = {"dayofweek": F.weekday("date"), "month": F.month("date"), "dayofmonth": F.dayofmonth("date")}
+    rows = stored_panel(t).withColumns(parts)
+    setting = {"maxDepth": 1, "maxIter": 1, "stepSize": 1.0}
+    chunks = lay_out(rows, ["family"], list(parts), "sales", ["store", "date"])
+    models = stored(best_rounds(fit_boosted(chunks, ["family"], [setting]), ["family"]), "stumps")
+    nodes = models.select("family", "base", F.col("trees").alias("n"))
+
+    def value(node):
+        return F.element_at(F.filter("n", lambda x: (x["node"] == node) & (x["feature"] < 0)), 1)["value"]
+
+    split = F.element_at(F.filter("n", lambda x: (x["node"] == 1) & (x["feature"] >= 0)), 1)
+    names = F.array(*[F.lit(p) for p in parts])
+    out = nodes.select(
+        "family",
+        F.get(names, split["feature"]).alias("feature"),
+        split["threshold"].alias("threshold"),
+        (F.col("base") + value(2)).alias("left_mean"),
+        (F.col("base") + value(3)).alias("right_mean"),
+    )
+    return rounded(out, left_mean=4, right_mean=4)
+
+
+@query(
+    "store_ridge_gradient",
+    _PANEL_SQL
+    + """
+    SELECT family, store, count(*) AS days, 0.0::DOUBLE AS intercept, 0.0::DOUBLE AS time_idx, 0.0::DOUBLE AS weekday_2,
+           0.0::DOUBLE AS month_7, 0.0::DOUBLE AS store_offset, 0.0::DOUBLE AS store_slope
+    FROM panel GROUP BY family, store
+    """,
+)
+def store_ridge_gradient(t):
+    """What is left of the normal equations of the families' ridge, a share of their size: nothing.
+
+    The gradient X'(y - Xb) - alpha b is 0 for the offset and slope of every store and for
+    the features that a family's stores share. The first store has none of its own.
+    """
+    alpha = 4.0
+    panel = stored_panel(t)
+    spec = fit_spec(panel, _COLS, wide=False)
+    rows = stored(build_forecast_features(panel, spec, None, _COLS), "ridge-rows")
+    ridge = fit_store_ridge(rows, spec, _COLS, alpha)
+    shared = spec.shared_columns()
+    kept = {"time_idx": "time_idx", "weekday_2": dummy_name("dayofweek", 2), "month_7": dummy_name("month", 7)}
+    left = predict_store_ridge(rows, ridge, spec, _COLS, "_p").withColumn("_r", F.col("sales") - F.col("_p"))
+    left = left.withColumn("_1", F.lit(1))
+    both = {"intercept": "_1", **kept, "store_offset": "store_own", "store_slope": "store_time"}
+    sums = left.groupBy("family", "store").agg(
+        F.count(F.lit(1)).alias("days"),
+        *[F.sum(F.col(c) * F.col("_r")).alias(f"g_{n}") for n, c in both.items()],
+        *[F.sum(F.abs(F.col(c) * F.col("_r"))).alias(f"s_{n}") for n, c in both.items()],
+    )
+    whole = sums.groupBy("family").agg(
+        *[F.sum(f"{k}_{n}").alias(f"{k}_all_{n}") for n in ("intercept", *kept) for k in ("g", "s")]
+    )
+    found = (
+        sums.join(whole, "family")
+        .join(ridge[0].select("family", "coef"), "family")
+        .join(ridge[1], ["family", "store"])
+    )
+
+    def rest(gradient: str, size: str, penalty):
+        return F.try_divide(F.col(gradient) - penalty, F.greatest(F.col(size), F.lit(1.0)))
+
+    pull = {n: F.get("coef", F.lit(shared.index(c))) * alpha for n, c in kept.items()}
+    out = found.select(
+        "family",
+        "store",
+        "days",
+        rest("g_all_intercept", "s_all_intercept", F.lit(0.0)).alias("intercept"),
+        *[rest(f"g_all_{n}", f"s_all_{n}", p).alias(n) for n, p in pull.items()],
+        rest("g_store_offset", "s_store_offset", F.get("own_coef", F.lit(0)) * alpha).alias("store_offset"),
+        rest("g_store_slope", "s_store_slope", F.get("own_coef", F.lit(1)) * alpha).alias("store_slope"),
+    )
+    return rounded(out, intercept=6, time_idx=6, weekday_2=6, month_7=6, store_offset=6, store_slope=6)

@@ -17,6 +17,7 @@ from tallymill.operators.encode import (
     standardize,
     target_encoding,
 )
+from tallymill.operators.labels import label_counts, label_index, one_hot_vectors, with_codes
 from tallymill.operators.models import (
     TablePreprocessor,
     feature_importance,
@@ -316,3 +317,27 @@ def pca_scores(t):
     out, _, _ = pca(t.part.select("p_partkey", "p_size", "p_retailprice"), ["p_size", "p_retailprice"])
     scores = vector_to_array("_scores")
     return rounded(out.select("p_partkey", scores[0].alias("pc1"), scores[1].alias("pc2")), pc1=6, pc2=6)
+
+
+@query(
+    "label_codes",
+    """
+    SELECT p_partkey, CAST(dense_rank() OVER (ORDER BY p_type) - 1 AS INTEGER) AS type_code,
+           CAST(dense_rank() OVER (ORDER BY p_name) - 1 AS INTEGER) AS name_code,
+           CAST(p_type IN (SELECT p_type FROM part WHERE p_size <= 25) AS INTEGER) AS known_type
+    FROM part
+    """,
+)
+def label_codes(t):
+    """The number of each part's type and name, and whether a vector from small parts knows the type."""
+    index = label_index(t.part, ["p_type", "p_name"])
+    coded = with_codes(t.part.select("p_partkey", "p_type", "p_name"), index, ["p_type", "p_name"])
+    small = label_index(t.part.where("p_size <= 25"), ["p_type"])
+    seen = one_hot_vectors(coded, small, label_counts(small, ["p_type"]))
+    # An unknown label is a vector without an entry.
+    return seen.select(
+        "p_partkey",
+        F.col("p_type_code").alias("type_code"),
+        F.col("p_name_code").alias("name_code"),
+        F.aggregate(vector_to_array("p_type_vector"), F.lit(0.0), lambda a, x: a + x).cast("int").alias("known_type"),
+    )
