@@ -51,14 +51,20 @@ def extreme_price_rows(t):
             )
         ).alias("kind"),
     )
-    # Every row of the highest price is shown; the others are summed per part.
-    single = F.when(F.col("kind") == "most", F.monotonically_increasing_id()).otherwise(-1)
-    return (
-        rows.withColumn("_row", single)
-        .groupBy("kind", "_row", "l_partkey", "l_extendedprice")
-        .agg(F.sum("l_quantity").alias("l_quantity"))
-        .drop("_row")
-    )
+    # Every row of the highest price is shown, equal ones counted and spread again; the
+    # others are summed per part.
+    most = F.col("kind") == "most"
+    grouped = rows.groupBy(
+        "kind", "l_partkey", "l_extendedprice", F.when(most, F.col("l_quantity")).alias("_own")
+    ).agg(F.sum("l_quantity").alias("_sum"), F.count(F.lit(1)).alias("_n"))
+    shown = F.sequence(F.lit(1).cast("long"), F.when(most, F.col("_n")).otherwise(1))
+    return grouped.select(
+        "kind",
+        "l_partkey",
+        "l_extendedprice",
+        F.when(most, F.col("_own")).otherwise(F.col("_sum")).alias("l_quantity"),
+        F.explode(shown).alias("_copy"),
+    ).drop("_copy")
 
 
 @query(

@@ -1,9 +1,11 @@
 """Shape of the plans: no join without a key, no Python in the hot path, no one-task sort."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallymill.plans.catalog import ORACLES, QUERIES
 from tallymill.plans.registry import Tables
+from tallymill.sources.sharded import daily_tables, read_sharded
 
 # Windows without a partition that see one row per period or per block only.
 _SMALL_WINDOWS = ("_start", "_block", "_day")
@@ -62,3 +64,16 @@ def test_top_k_is_not_a_full_sort(spark, small):
 def test_unknown_table_is_an_attribute_error(spark, small):
     with pytest.raises(AttributeError):
         Tables(spark, small).nothing
+
+
+def test_daily_tables_are_laid_out_once(spark, small):
+    """A second query opens the same folders, and only those of its sixteen days."""
+    source = f"{small}/events.parquet"
+    first = daily_tables(spark, source, F.col("ts"))
+    assert daily_tables(spark, source, F.col("ts")) == first
+    days = read_sharded(spark, first, "20240105", "20240120")
+    plan = plan_of(days)
+    assert "PartitionFilters: [isnotnull(suffix" in plan
+    opened = {f.split("suffix=")[1].split("/")[0] for f in days.inputFiles()}
+    everything = {f.split("suffix=")[1].split("/")[0] for f in spark.read.parquet(first).inputFiles()}
+    assert opened <= everything and days.select("suffix").distinct().count() <= 16 < len(everything)
