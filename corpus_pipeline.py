@@ -2,9 +2,8 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is written as
 Parquet and read again as the next stage's documents. All stages but the last return the
-columns of ``documents``. Rows without an id are scored, cleaned and packed like others;
-they have no name by which copies or benchmark passages could be traced to them, so those
-two stages keep them.
+columns of ``documents``. A row is told apart by its id and its text, so rows that share an
+id, or have none, are each judged by their own text; rows equal in both are one document.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymill.llm.decontamination import contaminated
-from tallymill.llm.near_duplicates import near_duplicates
+from tallymill.llm.near_duplicates import near_duplicates, row_name
 from tallymill.llm.packing import retrieval_pack
 from tallymill.llm.personal_data import sanitise
 from tallymill.llm.quality import fit_quality, learnable, score_quality
@@ -27,22 +26,26 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine scores 0.5 or more stay."""
-    machine = fit_quality(learnable(docs), table(spark, sf_dir, "labels"))
-    scored = score_quality(docs, machine, score="_quality")
+    machine = fit_quality(learnable(docs), table(spark, sf_dir, "labels"), metadata=("n_chars",))
+    scored = score_quality(docs, machine, metadata=("n_chars",), score="_quality")
     return scored.filter(F.col("_quality") >= 0.5).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest id."""
-    kept = near_duplicates(docs).filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+    kept = near_duplicates(docs).filter("keep").select(F.col("doc").alias("_doc"), F.col("spot").alias("_spot"))
+    doc, spot = row_name(F.col("doc_id"), F.col("text"))
+    named = docs.withColumns({"_doc": doc, "_spot": spot})
+    return (
+        named.join(kept, ["_doc", "_spot"], "left_semi").dropDuplicates(["_doc", "_spot"]).select(*docs.columns)
+    )
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of the benchmark go."""
-    found = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    named = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    found = contaminated(named, table(spark, sf_dir, "benchmark"), key="_row").select("_row").distinct()
+    return named.join(found, "_row", "left_anti").select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
