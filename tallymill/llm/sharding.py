@@ -5,11 +5,17 @@ the places gives splitters that cut the order into many ranges of about equal by
 rows are put into ranges, the bytes of every range are counted exactly, and the shards'
 boundaries fall where the running total passes each shard's share. A range that holds a
 boundary is thereby subdivided record by record, and a key whose records overfill a range
-is spread over several ranges by the second half of the place. Records of one key stay in
-one shard unless the key is larger than a range or a fiftieth of a shard.
+is spread over several ranges by the second half of the place.
+
+Records of one key stay in one shard unless they hold more than a shard's share. Keys of more
+than a fiftieth of it, at most fifty times as many as shards, are dealt whole before the
+others, the largest first, each to the emptiest shard; the boundaries of the others then fill
+every shard up to the same level.
 
 Null group hashes and sizes count as zero. Rows that repeat are counted once with their number
-and spread again at the end, so no number of copies overfills a task.
+and spread again at the end, so no number of copies overfills a task. Equal places go by id,
+then size. An empty table has no rows; only the named columns are carried along, so other
+columns cannot clash.
 """
 
 from __future__ import annotations
@@ -55,6 +61,46 @@ def weighted_splitters(rows: DataFrame, ranges: int, per_range: int, total: int)
     return np.where(first, (keys << 32) - 1, splitters)
 
 
+class WholeGroups:
+    """Large groups dealt whole to shards, and what that leaves of every shard."""
+
+    def __init__(self, groups: np.ndarray, sizes: np.ndarray, counts: np.ndarray, shards: int, total: int):
+        order = np.argsort(groups)
+        self.groups, sizes, counts = groups[order], sizes[order], counts[order]
+        self.shard = np.zeros(len(order), np.int32)
+        # Rows of the groups dealt to the same shard before.
+        self.offset = np.zeros(len(order), np.int64)
+        load, held = np.zeros(shards), np.zeros(shards, np.int64)
+        for i in np.lexsort((self.groups, -sizes)):
+            at = int(np.argmin(load))
+            self.shard[i], self.offset[i] = at, held[at]
+            load[at] += sizes[i]
+            held[at] += counts[i]
+        self.bytes_before = np.append(0, np.cumsum(sizes)).astype(np.int64)
+        self.rows_before = np.append(0, np.cumsum(counts)).astype(np.int64)
+        # The level to which the other records fill the shards.
+        left, level = total - float(sizes.sum()), 0.0
+        for n, top in enumerate(np.sort(load), 1):
+            level = (left + np.sort(load)[:n].sum()) / n
+            if n == shards or level <= np.sort(load)[n]:
+                break
+        self.edges = np.cumsum(np.maximum(0, level - load))
+
+    def place(self, group: np.ndarray) -> dict[str, np.ndarray]:
+        """Of every row's group: dealt whole or not, where to, and what of whole groups is before it."""
+        at = np.searchsorted(self.groups, group)
+        safe = np.minimum(at, max(0, len(self.groups) - 1))
+        whole = (self.groups[safe] == group) if len(self.groups) else np.zeros(len(group), bool)
+        pick = lambda values: np.where(whole, values[safe], 0) if len(self.groups) else np.zeros(len(group), np.int64)
+        return {
+            "whole": whole,
+            "target": pick(self.shard).astype(np.int32),
+            "offset": pick(self.offset).astype(np.int64),
+            "skip_bytes": self.bytes_before[at],
+            "skip_rows": self.rows_before[at],
+        }
+
+
 def shard_by_bytes(
     rows: DataFrame,
     key: str,
@@ -91,15 +137,24 @@ def shard_by_bytes(
     ranges = max(shards * ranges_per_shard, (whole["rows"] or 0) // 200_000)
     splitters = weighted_splitters(records, ranges, samples_per_range, total)
 
+    weight = F.col("size") * F.col("copies")
+    share = total / shards if total else 1.0
+    large = records.groupBy("group").agg(F.sum(weight).alias("bytes"), F.sum("copies").alias("count"))
+    # At most fifty for each shard.
+    found = large.filter((F.col("bytes") > share / 50) & (F.col("bytes") <= share)).toPandas()
+    dealt_whole = WholeGroups(*(found[c].to_numpy(np.int64) for c in ("group", "bytes", "count")), shards, total)
+
     def into_range(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             batch["range"] = np.searchsorted(splitters, batch["place"].to_numpy(), side="left")
-            yield batch
+            yield batch.assign(**dealt_whole.place(batch["group"].to_numpy()))
 
+    kind = records.schema["id"].dataType.simpleString()
     ranged = records.mapInPandas(
-        into_range, f"id {records.schema['id'].dataType.simpleString()}, group long, size long, copies long, place long, range int"
+        into_range,
+        f"id {kind}, group long, size long, copies long, place long, range int, "
+        "whole boolean, target int, offset long, skip_bytes long, skip_rows long",
     )
-    weight = F.col("size") * F.col("copies")
     sums = ranged.groupBy("range").agg(F.sum(weight).alias("bytes"), F.sum("copies").alias("count"))
     # One row per range: their number is a parameter or a small fraction of the rows.
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
@@ -120,25 +175,37 @@ def shard_by_bytes(
         .withColumn("index", F.col("rows_before") + F.coalesce(F.sum("copies").over(running), F.lit(0)))
         .withColumn("group_bytes", F.sum(weight).over(group))
         .withColumn("group_before", F.min("before").over(group))
-        .select("id", "group", "size", "copies", "before", "index", "group_bytes", "group_before"),
+        .drop("place", "range", "bytes_before", "rows_before"),
         "placed",
     )
-    share = total / shards if total else 1.0
+    each = placed.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    each = each.withColumn("index", F.col("index") + F.col("copy"))
     point = F.when(
         F.col("group_bytes") <= F.lit(share / 50), F.col("group_before") + F.col("group_bytes") / 2
     ).otherwise(F.col("before") + (F.col("copy") + 0.5) * F.col("size"))
-    dealt = placed.withColumn(
-        "copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))
-    ).withColumn("shard", F.least(F.floor(point / F.lit(share)).cast("int"), F.lit(shards - 1)))
-    # Shards follow the order, so a slot is the distance from the shard's first row.
-    firsts = dealt.groupBy("shard").agg(F.min(F.col("index") + F.col("copy")).alias("first"))
-    return dealt.join(F.broadcast(firsts), "shard").select(
-        F.col("id").alias(key),
-        "size",
-        F.col("group").alias(key_hash),
-        "shard",
-        (F.col("index") + F.col("copy") - F.col("first")).cast("long").alias("slot"),
+    edges = F.array(*[F.lit(float(e)) for e in dealt_whole.edges])
+    passed = F.size(F.filter(edges, lambda e: e <= point - F.col("skip_bytes")))
+    others = each.filter(~F.col("whole")).withColumn("shard", F.least(passed, F.lit(shards - 1)))
+    others = others.withColumn("index", F.col("index") - F.col("skip_rows"))
+    # Shards follow the order, so a slot is the distance from the shard's first row; whole
+    # groups follow in the order in which they were dealt.
+    firsts = stored(
+        others.groupBy("shard").agg(F.min("index").alias("first"), F.count(F.lit(1)).alias("filled")), "shard-firsts"
+    )
+    laid = others.join(F.broadcast(firsts), "shard").withColumn("slot", F.col("index") - F.col("first"))
+    groups = each.filter("whole")
+    starts = F.broadcast(groups.groupBy("group").agg(F.min("index").alias("start")))
+    after = F.coalesce(F.col("filled"), F.lit(0)) + F.col("offset") + F.col("index") - F.col("start")
+    together = (
+        groups.withColumn("shard", F.col("target"))
+        .join(starts, "group")
+        .join(F.broadcast(firsts), "shard", "left")
+        .withColumn("slot", after)
     )
+    columns = [
+        F.col("id").alias(key), "size", F.col("group").alias(key_hash), "shard", F.col("slot").cast("long").alias("slot")
+    ]
+    return laid.select(*columns).unionByName(together.select(*columns))
 
 
 def write_shards(df: DataFrame, path: str) -> None:

@@ -151,3 +151,42 @@ def test_op3_covers_every_document(spark, small):
     for r in got:
         assert (r["size"], r["text_crc32"]) == (len(texts[r["doc_id"]]) + 8, zlib.crc32(texts[r["doc_id"]]))
         assert r["law"] == "bytes" and r["grown_shard"] is None and 0 <= r["shard"] < 24
+
+
+def test_large_groups_stay_whole_and_shards_stay_even(spark):
+    """Groups from a hundredth to nearly a whole shard, and one beyond it."""
+    draw = np.random.default_rng(6)
+    sizes = [(g, n) for g, n in enumerate([900, 700, 500, 300, 200, 100, 60, 30, 15] * 2 + [2500])]
+    data, doc = [], 0
+    for g, n in sizes:
+        for _ in range(n):
+            data.append((doc, 100, g * 7919))
+            doc += 1
+    for _ in range(5000):
+        data.append((doc, int(draw.integers(20, 180)), int(draw.integers(10**6, 2**32))))
+        doc += 1
+    df = spark.createDataFrame(data, "doc_id long, size long, text_crc32 long")
+    got = dealt(shard_by_bytes(df, "doc_id", "text_crc32", "size", 8))
+    assert sorted(r["doc_id"] for r in got) == list(range(doc))
+    totals, groups = Counter(), defaultdict(set)
+    for r in got:
+        totals[r["shard"]] += r["size"]
+        groups[r["text_crc32"]].add(r["shard"])
+    share = sum(totals.values()) / 8
+    assert all(abs(t - share) < 0.02 * share for t in totals.values())
+    for g, n in sizes:
+        assert (len(groups[g * 7919]) == 1) == (100 * n <= share)
+
+
+def test_op3_texts_stay_together(spark, small):
+    """Null and empty texts are one group, as are the copies of any text."""
+    got = dealt(QUERIES["op3_sampled_splitters"](spark, small))
+    groups, totals = defaultdict(set), Counter()
+    for r in got:
+        groups[r["text_crc32"]].add(r["shard"])
+        totals[r["shard"]] += r["size"]
+    share = sum(totals.values()) / 24
+    held = Counter()
+    for r in got:
+        held[r["text_crc32"]] += r["size"]
+    assert all(len(s) == 1 for g, s in groups.items() if held[g] <= share)
