@@ -9,6 +9,8 @@ written tables to which the remaining words of the documents are joined.
 
 A null text and a text without a letter give ``und`` with score 0. Ties go to the
 language that sorts first. Without any learnable document every prediction is ``und``.
+Rows that repeat count, and are predicted, as often as they come; very long texts are read
+whole; an empty table has no rows; a column named like a result is replaced.
 """
 
 from __future__ import annotations

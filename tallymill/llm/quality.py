@@ -7,7 +7,9 @@ of the squares of ``v_i x_i``, summed over the factors.
 
 The model is fitted on a bounded sample of labelled rows (``rows``); every text is scored
 whole. A null text scores like an empty one, which has structure features only. With no
-labelled row the score is 0.5 for every text.
+labelled row the score is 0.5 for every text. Very long texts are read whole, rows that
+repeat are scored each, equal texts with equal metadata have equal scores, an empty table has
+no rows, and a column named like the score is replaced.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ the sections. A token that crosses a boundary is allocated by a rule:
 
 The counts of a document's sections add up to the document's tokens under every rule. A
 separator belongs to the section before it. Null fields count as empty, an empty section
-has a row with no tokens, and rows that repeat are counted as often as they come.
+has a row with no tokens, and rows that repeat are counted as often as they come. Very long
+texts are encoded whole, an empty table has no rows, and other columns are ignored.
 """
 
 from __future__ import annotations
