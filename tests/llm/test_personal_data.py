@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 
+import regex
+
 from tallymill.llm.catalog import QUERIES
-from tallymill.llm.personal_data import sanitise
+from tallymill.llm.personal_data import PATTERNS, sanitise
 from tests.llm.helpers import empty_docs, odd_docs, prose, rows
 
 PLAIN = {
@@ -98,3 +101,91 @@ def test_terms_far_away_short_or_of_two_texts(spark):
         found = {text[s["start"] : s["end"]] for s in got[i]["spans"] if s["kind"] == "term"}
         assert found == ({"zyzzyva", "li"} if i < 200 else {"quuxish"})
     assert all(got[i]["sanitised"] == t for i, t in rest)
+
+
+def brute_terms(texts, generalise=0.5, remove=0.8, doubt=0.05):
+    """text -> (removed, generalised) terms, by looking at every pair of an entity and a term."""
+    texts = sorted({t or "" for t in texts})
+    held, plain, n_t = {}, {}, {}
+    for text in texts:
+        entities = set()
+        for span in brute(text):
+            kind, begin, end = span.split(":")
+            value = text[int(begin) : int(end)].lower()
+            entities.add((kind, re.sub("[^0-9]", "", value) if kind in ("card", "phone") else value))
+        held[text], rest = entities, text
+        for pattern in PATTERNS.values():
+            rest = regex.sub(pattern, " ", rest)
+        plain[text] = set(regex.findall(r"\p{L}+", rest.lower()))
+        for term in set(regex.findall(r"\p{L}+", text.lower())):
+            n_t[term] = n_t.get(term, 0) + 1
+    n = len(texts)
+    need = math.log(len(n_t) / doubt)
+    least = 1 if math.log(n) >= need else 2
+    found = {t: {} for t in texts}
+
+    def evidence(both, one, other):
+        share, expected = both / one, other / n
+        rest = (one - both) * math.log((1 - share) / (1 - expected)) if both < one else 0
+        return both * math.log(share / expected) + rest
+
+    for e in set().union(*held.values()):
+        mine = [t for t in texts if e in held[t]]
+        if not least <= len(mine) < n:
+            continue
+        for term in set().union(*(plain[t] for t in mine)):
+            both = sum(term in plain[t] for t in mine)
+            if n_t[term] < least or n_t[term] >= n:
+                continue
+            share = math.log2(both * n / (len(mine) * n_t[term])) / math.log2(n / len(mine))
+            if share >= generalise and max(evidence(both, len(mine), n_t[term]), evidence(both, n_t[term], len(mine))) >= need:
+                for t in mine:
+                    if term in plain[t]:
+                        found[t][term] = found[t].get(term, False) or share >= remove
+    return {
+        t: ({w for w, r in f.items() if r or len(w) < 4}, {w for w, r in f.items() if not r and len(w) >= 4})
+        for t, f in found.items()
+    }
+
+
+def test_terms_equal_brute_force(spark):
+    draw = random.Random(9)
+    names = [f"{w}{x}" for w in ("rho", "sigma", "tau", "psi") for x in "abcdefgh"]
+    mails = [f"{n}@mail{i % 3}.example.com" for i, n in enumerate(names[:12])] + ["+1 (988) 555-2485", "4111 1111 1111 1111", "10.1.2.3"]
+    data = []
+    for i in range(400):
+        text = prose(5000 + i % 350, 20 + i % 30)
+        for _ in range(draw.choice((0, 0, 1, 2))):
+            k = draw.randrange(len(mails))
+            near = names[k] if draw.random() < 0.8 else draw.choice(names)
+            text += f" {near} li {mails[k]} {draw.choice(names)}"
+        data.append((1000 + i, text))
+    data += [(2000 + i, t) for i, (_, t) in enumerate(data[:40])]  # copies are one witness
+    docs = odd_docs(spark, data)
+    want = brute_terms([r["text"] for r in docs.collect()])
+    treated = 0
+    for r in sanitise(docs).collect():
+        text = r["text"] or ""
+        got = {kind: {text[s["start"] : s["end"]].lower() for s in r["spans"] if s["kind"] == kind} for kind in ("term", "general")}
+        base = [(s["start"], s["end"]) for s in r["base"]]
+        outside = {
+            m[0].lower() for m in regex.finditer(r"\p{L}+", text) if all(m.end() <= a or b <= m.start() for a, b in base)
+        }
+        removed, general = want[text]
+        assert got["term"] == removed & outside and got["general"] == general & outside, text
+        treated += bool(removed or general)
+    assert treated > 50
+
+
+def test_thousands_of_entities_and_terms_in_one_text(spark):
+    """Entities of the same texts are one, and so are terms, so their pairs are few."""
+    words = [f"{a}{b}{c}word" for a in "bcdfghjklm" for b in "aeiou" for c in "bcdfghjklmnpqrstvwxz"]
+    mails = " ".join(f"u{i}@many.example.com" for i in range(2000))
+    long = f"{' '.join(words)} {mails}"
+    data = [(100 + i, f"{long} copy{'abc'[i]}") for i in range(3)] + [(200 + i, prose(i, 50)) for i in range(3000)]
+    got = {r["doc_id"]: r for r in sanitise(odd_docs(spark, data)).collect()}
+    for i in range(3):
+        kinds = [s["kind"] for s in got[100 + i]["spans"]]
+        assert kinds.count("email") == 2000 and kinds.count("term") == len(words)
+        assert got[100 + i]["sanitised"].startswith("[TERM] [TERM]") and words[0] not in got[100 + i]["sanitised"]
+    assert all(got[200 + i]["sanitised"] == t for i, (_, t) in enumerate(data[3:]))
