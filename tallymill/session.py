@@ -23,6 +23,15 @@ def build_session(app: str = "tallymill", master: str | None = None, **conf) ->
     return builder.getOrCreate()
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Send rows to Python ``rows`` at a time from now on.
+
+    For rows that hold whole texts: the buffers of a batch are kept on both sides of every
+    task, and ten thousand long texts are many megabytes.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """This application's folder for intermediate tables; every executor can reach it.
 
