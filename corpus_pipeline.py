@@ -17,7 +17,7 @@ from tallymill.llm.packing import retrieval_pack
 from tallymill.llm.personal_data import sanitise
 from tallymill.llm.quality import fit_quality, learnable, score_quality
 from tallymill.llm.registry import table
-from tallymill.session import stored
+from tallymill.session import small_batches, stored
 
 # Learnt models and iterative grouping have no SQL form; tests hold the stages against
 # brute force instead.
@@ -26,6 +26,7 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine scores 0.5 or more stay."""
+    small_batches(spark)
     machine = fit_quality(learnable(docs), table(spark, sf_dir, "labels"), metadata=("n_chars",))
     scored = score_quality(docs, machine, metadata=("n_chars",), score="_quality")
     return scored.filter(F.col("_quality") >= 0.5).select(*docs.columns)
@@ -33,6 +34,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest id."""
+    small_batches(spark)
     kept = near_duplicates(docs).filter("keep").select(F.col("doc").alias("_doc"), F.col("spot").alias("_spot"))
     doc, spot = row_name(F.col("doc_id"), F.col("text"))
     named = docs.withColumns({"_doc": doc, "_spot": spot})
@@ -57,6 +59,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents that were kept, packed into sequences of at most 1024 tokens."""
+    small_batches(spark)
     return retrieval_pack(docs)
 
 
