@@ -6,11 +6,10 @@
    ``bands`` bands of ``width`` hashes a pair of similarity ``s`` shares none with
    probability ``(1 - s**width)**bands``: 5e-6 at 0.75 for the defaults.
 3. A bucket first proposes pairs of its members with one of them (its leader). Verified
-   links are joined to components, and a second leader is tried only against members that
-   are still in other components. Members of one bucket that are in different components
-   after that are all compared, block by block inside tasks, on one byte of each hash; only
-   pairs that may reach the threshold become rows. So a group of copies costs a few pairs
-   per member, documents that share a passage cost no rows, and no pair is left out.
+   links are joined to components. Buckets that still hold several of them are brought
+   together into clusters, and each cluster is worked off inside tasks, block by block, by
+   steps 4 and 5; only links that join components become rows. So a group of copies costs a
+   pair per member, one of documents just below the threshold no more, and no pair is left out.
 4. A proposed pair's signatures are compared in batches. After ``n`` hashes with ``m``
    matches the posterior of the similarity under a flat prior is a beta distribution, and
    the pair is dropped when the chance of reaching the threshold is below ``miss``.
@@ -222,7 +221,7 @@ def near_duplicates(
     width: int = 5,
     batch: int = 25,
     miss: float = 1e-6,
-    leaders: int = 2,
+    leaders: int = 1,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (its least doc_id).
 
@@ -313,7 +312,7 @@ def near_duplicates(
             found = found.union(components.select(F.col("node").alias("a"), F.col("component").alias("b")))
         components = connect(found, "near-components")
 
-    # Two members were compared by a leader, whatever the leaders were.
+    # The only pair of two members was that of the leader.
     here = open_buckets(components)
     tops = here.groupBy("bucket").agg(F.min("node").alias("top"), F.count(F.lit(1)).alias("n")).filter("n > 2")
     ties = connect(here.join(tops, "bucket").select(F.col("node").alias("a"), F.col("top").alias("b")), "near-clusters")
