@@ -8,10 +8,12 @@ of the document, and every such placement is verified word by word: equal words
 unequal ones -1, and the best run on the diagonal must reach ``words`` (or the share
 ``part`` of a shorter item, but no less than ``least``).
 
-Only DataFrame functions are used. The benchmark's seeds are sent to all tasks when they
-are counted to be few enough, and are joined by shuffling beyond that; both give the same
-rows. Null and empty texts, and items or documents with fewer words than the mask is long,
-match nothing. Rows that share an id are one document (or item).
+Only DataFrame functions are used. The benchmark's seeds, and the placements found, are sent
+to all tasks when they are counted to be few enough, and are joined by shuffling beyond
+that; both give the same rows. Null and empty texts, and items or documents with fewer words than the mask is long,
+match nothing. Rows that share an id are one document (or item). Of equally good runs the
+earliest start counts. Very long texts are read whole. Empty tables give no rows, and other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,9 +22,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymill.llm.registry import let, query, table
+from tallymill.session import stored
 
 MASKS = ("11101101", "11011011")
-#: Seeds of a benchmark that are sent to every task; some 40 bytes each.
+#: Seeds of a benchmark, and placements, that are sent to every task; some 40 bytes each.
 _SENT = 2_000_000
 
 
@@ -106,9 +109,15 @@ def contaminated(
         .select("id", "item", (F.col("at") - F.col("item_at")).alias("diagonal"))
         .distinct()
     )
+    # The placements are written, so their number is known: few are sent to the documents,
+    # whose words then stay where they are.
+    placed = stored(placed, "placed-items")
+    if placed.count() <= _SENT:
+        placed = F.broadcast(placed)
     held = items.select(F.col("id").alias("item"), F.col("words").alias("item_words"))
     scored = (
-        placed.join(documents.withColumnRenamed("id", "doc"), F.col("id").eqNullSafe(F.col("doc")))
+        documents.withColumnRenamed("id", "doc")
+        .join(placed, F.col("id").eqNullSafe(F.col("doc")))
         .join(held.withColumnRenamed("item", "it"), F.col("item").eqNullSafe(F.col("it")))
         .select(
             "id",
